@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -108,3 +109,25 @@ def bounded_ids(df: DataFrame, key: str, bound: int) -> DataFrame:
 def not_fold(column: str, mod: int, rest: int) -> Column:
     """Whether crc32 of a key as text, modulo mod, differs from rest (null keys: crc32 of the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % mod != rest
+
+
+@contextlib.contextmanager
+def runtime_bloom(spark: SparkSession):
+    """Inside, Spark filters a join's large side by a Bloom filter of the small side before it shuffles.
+
+    The filter has a fixed size (spark.sql.optimizer.runtime.bloomFilter.maxNumBits, 8 MB), whatever the tables' sizes.
+    The small side needs a comparison as a filter, which Spark takes as the sign that the filter pays.
+    """
+    wanted = {
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64g",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHashes, fmix64, forget, lower_ascii, odd_constants, stored
+from .common import WORD, WordHashes, fmix64, forget, lower_ascii, odd_constants, runtime_bloom, stored
 
 K, ROWS, BANDS = 5, 5, 24
 SMALL, BLOCK = 48, 256
@@ -221,13 +221,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     pairs = stored(small.union(to_pivot).where("a <> b").distinct(), "pairs")
 
+    # Only members of pairs and hot buckets need their texts again; a Bloom filter keeps the other texts out of the shuffle.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(hot.select("rep")).distinct()
+    needed = stored(needed, "needed").where(F.col("rep") > F.lit(-(2**63)))
     texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "rep").join(needed, "rep", "left_semi")
     sets = texts.mapInPandas(_sets, "rep long, members binary")
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         # Repeated ids: link on the set that the class of that id stands for is ambiguous, so take the smallest bytes.
         sets = sets.groupBy("rep").agg(F.min("members").alias("members"))
-    sets = stored(sets, "sets")
+    with runtime_bloom(spark):
+        sets = stored(sets, "sets")
     verified = (
         pairs.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("sa")), "a")
         .join(sets.select(F.col("rep").alias("b"), F.col("members").alias("sb")), "b")
@@ -244,14 +247,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         sizes = labelled.groupBy("bucket", "label").agg(F.count("*").alias("m"))
         main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("k"), F.sum("m").alias("all"))
         mixed = stored(main.where("k > 1").join(sizes.withColumnRenamed("label", "main"), ["bucket", "main"]).select("bucket", "main", F.expr("int(ceil((all - m) / %d))" % BLOCK).alias("rest_blocks"), F.expr("int(ceil(all / %d))" % BLOCK).alias("all_blocks")), "mixed")
-        inside = labelled.join(mixed, "bucket").join(sets, "rep")
+        inside = stored(labelled.join(mixed, "bucket").join(sets, "rep"), "inside")
         cut = lambda k: F.pmod(F.xxhash64("rep"), F.col(k)).cast("int")
         rest = inside.where("label <> main").select("bucket", cut("rest_blocks").alias("r"), F.explode(F.expr("sequence(0, all_blocks - 1)")).alias("m"), "rep", "label", "members")
         every = inside.select("bucket", F.explode(F.expr("sequence(0, rest_blocks - 1)")).alias("r"), cut("all_blocks").alias("m"), "rep", "label", "members")
+        every = every.select(*[F.col(c).alias(c) for c in every.columns])  # names of its own: both sides stem from one frame
         more = stored(rest.groupBy("bucket", "r", "m").cogroup(every.groupBy("bucket", "r", "m")).applyInPandas(_cross(percent), "a long, b long").distinct(), "more")
         if more.limit(1).count():
             found = components(links.union(more))
-        forget(spark, labelled, mixed)
+        forget(spark, labelled, mixed, inside)
     member = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
     member = stored(member, "member")
     forget(spark, reps, counts, busy, pivots, pairs, sets)
