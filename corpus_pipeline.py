@@ -1,10 +1,58 @@
-"""From raw documents to training tokens, in stages that are each written as Parquet and read again."""
+"""From raw documents to training tokens, in stages that are each written as Parquet and read again.
+
+All stages but the last return the columns of documents; each works on all that its predecessor kept.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkcat.llm import bpe, mixing, near_dedup, quality_rules, toxicity
+from sparkcat.llm.common import stored, table
+from sparkcat.llm.queries import tokenizer_file
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below 0.5."""
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.where(F.col("toxicity") < 0.5).select(*docs.columns)
+
+
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the ratio's threshold."""
+    return quality_rules.quality_rules(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component: that with the smallest doc_id."""
+    kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    return docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns))
+
+
+def to_target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens follow the target shares of sources, languages and topics."""
+    return mixing.mixed(docs).where("sampled").select(*docs.columns)
+
+
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of token ids and of the decoded text."""
+    return bpe.encode_digests(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("quality_rules", of_quality),
+    ("near_dedup", without_near_copies),
+    ("mixing", to_target_mix),
+    ("bpe", to_tokens),
+]
+#: Learned scores, components and raking are no plain SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
