@@ -3,7 +3,7 @@
 The lexicon is learned from labelled training rows: words whose document frequency among toxic rows is far above that
 among the others (log-likelihood ratio), at most TERMS of them. Each word of a document that is not plainly known as
 harmless walks the trie while a Levenshtein automaton of the word runs along; what is accepted is a term, perhaps
-misspelled (one edit from 5 letters on, two from 9). Common look-alikes (@ for a, 1 for i and so on) are folded first.
+misspelled (one edit from 5 letters on, two from 12, the first letter kept). Common look-alikes (@ for a, 1 for i and so on) are folded first.
 Around each hit a window of words is scored for quotation (quotation marks, words of reporting) against abuse
 (address in the second person, no quotation); both kinds of hits, exact and misspelled, are features of a logistic model.
 
@@ -31,7 +31,7 @@ from .common import GAP_SQL, bounded_ids, not_fold, stored
 
 SAMPLE, TERMS, WINDOW, LEAST_DF, LEAST_LLR = 20_000, 4_000, 6, 3, 9.0
 #: Terms with at least this evidence may be met misspelled, at most FUZZY of them.
-FUZZY_LLR, FUZZY = 40.0, 1_000
+FUZZY_LLR, FUZZY = 40.0, 250
 KEEP_WORDS = 300_000
 EDGE = r"[\p{P}\p{S}]"
 STRIP = re.compile(r"^[\W_]+|[\W_]+$")
@@ -55,20 +55,22 @@ class Lexicon:
                 node = node.setdefault(c, {})
             node[""] = t
         # One edit leaves the first or the last half of a term whole; two leave its first, last or middle third whole.
-        long = [t for t in fuzzy if len(t) >= 5]
-        self.heads = {t[: self._piece(t)] for t in long}
-        self.tails = {t[-self._piece(t):] for t in long}
-        self.middles = {t[k : 2 * k] for t in long if self.edits(len(t)) == 2 for k in [self._piece(t)]}
-        self.sizes = sorted({self._piece(t) for t in long})
+        # The first letter is taken as right (after folding), and lengths differ by the edits at most.
+        self.heads: dict[tuple, set[int]] = {}
+        for t in fuzzy:
+            most, n = self.edits(len(t)), len(t)
+            if most:
+                k = n // (most + 1)
+                pieces = [(0, t[:k]), (1, t[-k:]), *([(2, t[k : 2 * k])] if most == 2 else [])]
+                for place, piece in pieces:
+                    self.heads.setdefault((t[0], place, piece), set()).update(range(n - most, n + most + 1))
+        self.sizes = sorted({len(k[2]) for k in self.heads})
+        self.two = any(self.edits(len(t)) == 2 for t in fuzzy)
         self.seen: dict[str, tuple[str, int] | None] = {}
 
-    @classmethod
-    def _piece(cls, term: str) -> int:
-        return len(term) // (cls.edits(len(term)) + 1)
-
     @staticmethod
     def edits(n: int) -> int:
-        return 0 if n < 5 else 1 if n < 9 else 2
+        return 0 if n < 5 else 1 if n < 12 else 2
 
     def find(self, raw: str) -> tuple[str, int] | None:
         """The nearest term of a lower-case word and its distance; punctuation at its edges doesn't count."""
@@ -92,11 +94,16 @@ class Lexicon:
         return self.walk(folded, self.edits(len(folded) + 1))
 
     def _near(self, w: str) -> bool:
+        """Whether a term of fitting length shares the first letter and a whole piece at nearly the same place."""
+        n, c, heads, none = len(w), w[0], self.heads, ()
         for k in self.sizes:
-            if w[:k] in self.heads or w[-k:] in self.tails:
+            if n in heads.get((c, 0, w[:k]), none) or n in heads.get((c, 1, w[-k:]), none):
                 return True
-        n = len(w)
-        return n >= 7 and any(w[i : i + k] in self.middles for k in self.sizes for i in range(max(0, k - 2), min(k + 3, n)))
+            if n >= 10 and self.two:
+                for i in range(max(0, k - 2), min(k + 3, n - k + 1)):
+                    if n in heads.get((c, 2, w[i : i + k]), none):
+                        return True
+        return False
 
     def walk(self, word: str, most: int) -> tuple[str, int] | None:
         """Intersect the trie with the Levenshtein automaton of a word; its states are rows of edit counts up to `most`."""
@@ -104,7 +111,10 @@ class Lexicon:
             return None
         n, top = len(word), most + 1
         found: tuple[int, str] | None = None
-        stack = [(self.trie, tuple(min(i, top) for i in range(n + 1)))]
+        first = self.trie.get(word[0])
+        if first is None:
+            return None
+        stack = [(first, tuple(min(abs(i - 1), top) for i in range(n + 1)))]
         while stack:
             node, row = stack.pop()
             for c, child in node.items():

@@ -202,19 +202,21 @@ def test_automaton_equals_edit_distance():
             row = reduce(lambda acc, j: [*acc, min(row[j + 1] + 1, acc[j] + 1, row[j] + (x != b[j]))], range(len(b)), [i + 1])
         return row[-1]
 
-    terms = ["idiot", "worthless", "disgusting", "moron"]
+    terms = ["idiot", "worthless", "contemptibly", "moron"]
     lex = toxicity.Lexicon(dict.fromkeys(terms, 1.0), terms)
     rng = np.random.default_rng(1)
     for t in terms * 60:
         w = list(t)
         for _ in range(rng.integers(0, 4)):
-            k = rng.integers(0, len(w))
+            k = rng.integers(1, len(w)) if len(w) > 1 else 0
             w[k : k + 1] = [["q"], [], [w[k], "z"]][rng.integers(0, 3)]
             w = w or ["a"]
         w = "".join(w)
-        best = min((distance(w, x), x) for x in terms if distance(w, x) <= lex.edits(len(x))) if any(distance(w, x) <= lex.edits(len(x)) for x in terms) else None
+        near = [(distance(w, x), x) for x in terms if w[0] == x[0] and distance(w, x) <= lex.edits(len(x))]
+        best = min(near) if near else None
         found = lex.walk(w, 2)
         assert (found and (found[1], found[0])) == best
+        assert not near or w in terms or lex._near(w)
 
 
 def test_quotation_counts_less():
