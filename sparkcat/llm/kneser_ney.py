@@ -1,19 +1,20 @@
-"""Quality by an interpolated modified Kneser-Ney model of trusted text, its counts joined in shards.
+"""Quality by an interpolated modified Kneser-Ney model of trusted text, its count tables cut into shards.
 
-The model (word n-grams up to ORDER, three discounts per order) is counted from at most TRUSTED documents labelled
-quality 1 (smallest hashes of doc_id; nine in ten of them train, the rest calibrate). Interpolation is stored in back-off
-form, so a document's log probability is a sum over its n-grams: for each order, seen n-grams add a correction, and seen
-contexts a back-off weight. That sum needs no order of words, so it is a join of counts:
+The model (word n-grams up to order 3, three discounts per order) is counted from documents labelled quality 1: at most
+TRUSTED of them (smallest hashes of doc_id), nine in ten to train, the rest to calibrate. Training takes them in the order
+of that hash up to WORDS words in all, leaving out those with more than a twentieth of that. So the model has at most
+5 * WORDS numbers, whatever the corpus: that is the proven bound under which it is broadcast.
 
-* n-grams of a document are counted and hashed; a Bloom filter of the model (a fixed number of bits for TRUSTED
-  documents) drops those that the model has never seen, which add nothing;
-* the rest are joined by hash, in as many shards as there are shuffle partitions, with the corrections summed per
-  document.
+Interpolation is stored in back-off form: a document's log probability is a sum over its n-grams, where seen n-grams add
+a correction and seen contexts a back-off weight. Such a sum needs no order of words, so it is a join of counts. Both
+sides are sorted by hash and cut into shards that fit a processor's cache, and met shard by shard beside the texts: of a
+document only its sum leaves the task, and no n-gram of the corpus is ever shuffled.
 
 Perplexity is exp(-mean log probability) per word. Per language, the bound is the QUANTILE of the calibration documents'
 perplexities times SLACK; languages with fewer than 20 of those use the bound over all. A document is kept if it does
 not exceed its language's bound. Documents without words have no perplexity and are not kept. Null languages are ''.
-Repeated rows with one doc_id and text count as one document each with the same result. No trusted rows: all are kept.
+Repeated rows each have a row with the same result. No trusted rows: all documents with words are kept. Extra columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,150 +25,197 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHashes, bounded_ids, fmix64, lower_ascii, stored
+from .common import WORD, WordHashes, bounded_ids, fmix64, lower_ascii, stored, words_column
 
-ORDER, TRUSTED, QUANTILE, SLACK = 3, 10_000, 0.995, 2.0
-BLOOM_BITS = 2**26
-_M = np.uint64(0x9E3779B97F4A7C15)
+ORDER, TRUSTED, WORDS, QUANTILE, SLACK = 3, 10_000, 2_000_000, 0.995, 2.0
+START = 7  # the hash of the mark before a text
+PARTS, SHARD, CHARS = 8, 2**15, 400_000
+_M, _CONTEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x5BD1E995)
 
 
-def grams(text: str | None, hashes: WordHashes, order: int = ORDER) -> list[np.ndarray]:
-    """Hashes of the n-grams of each order at each word, after order-1 start marks."""
+def padded(text: str | None, hashes: WordHashes) -> np.ndarray:
+    """Hashes of a text's words after the start marks; nothing for a text without words."""
     words = WORD.findall(lower_ascii(text))
-    if not words:
-        return [np.empty(0, np.uint64)] * order
-    h = np.concatenate([np.full(order - 1, np.uint64(7)), hashes(words)])
-    n, out = len(words), []
-    for k in range(1, order + 1):
-        g = np.full(n, np.uint64(k))
-        for j in range(k):
-            at = order - k + j
-            g = fmix64(g * _M + h[at : at + n])
-        out.append(g)
-    return out
+    return np.concatenate([np.full(ORDER - 1, np.uint64(START)), hashes(words)]) if words else np.empty(0, np.uint64)
+
 
+def gram_hash(*words: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams, given as one array for each place."""
+    g = np.full(len(words[0]), np.uint64(len(words)))
+    for w in words:
+        g = fmix64(g * _M + w)
+    return g
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
 
+def features(text: str | None, hashes: WordHashes) -> list[np.ndarray]:
+    """At each word: the keys of its three n-grams, and of the contexts of the two longer ones."""
+    h = padded(text, hashes)
+    if not len(h):
+        return [h] * 5
+    one, two, three = gram_hash(h), gram_hash(h[:-1], h[1:]), gram_hash(h[:-2], h[1:-1], h[2:])
+    return [one[2:], two[1:], three, one[1:-1] ^ _CONTEXT, two[:-1] ^ _CONTEXT]
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for pdf in batches:
         rows: Counter = Counter()
         for text in pdf["text"]:
-            g = grams(text, hashes)
-            n = len(g[0])
-            for k in range(1, ORDER + 1):
-                prefix = _prefixes(text, hashes, k, n) if k > 1 else np.zeros(n, np.uint64)
-                rows.update(zip([k] * n, _signed(g[k - 1]).tolist(), _signed(prefix).tolist(), _signed(g[k - 2]).tolist() if k > 1 else [0] * n, strict=True))
-        keys = list(rows)
-        yield pd.DataFrame({"k": [x[0] for x in keys], "gram": [x[1] for x in keys], "context": [x[2] for x in keys], "suffix": [x[3] for x in keys], "n": [rows[x] for x in keys]})
+            h = padded(text, hashes).view(np.int64).tolist()
+            rows.update(zip(h, h[1:], h[2:]))
+        found = pd.DataFrame(list(rows), columns=["a", "b", "c"], dtype="int64")
+        yield found.assign(n=np.fromiter(rows.values(), np.int64, len(rows)))
 
 
-def _prefixes(text: str | None, hashes: WordHashes, k: int, n: int) -> np.ndarray:
-    """Hashes of the (k-1)-grams that precede each word."""
-    words = WORD.findall(lower_ascii(text))
-    h = np.concatenate([np.full(ORDER - 1, np.uint64(7)), hashes(words)])
-    g = np.full(n, np.uint64(k - 1))
-    for j in range(k - 1):
-        at = ORDER - k + j
-        g = fmix64(g * _M + h[at : at + n])
-    return g
+def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        k, context = pdf["k"].to_numpy(), pdf["context"].to_numpy()
+        words = [pdf[x].to_numpy(np.int64).view(np.uint64) for x in "abc"]
+        out = np.empty(len(pdf), np.uint64)
+        for order in (1, 2, 3):
+            at = np.nonzero(k == order)[0]
+            out[at] = gram_hash(*[w[at] for w in words[ORDER - order :]])
+        out[context] ^= _CONTEXT
+        yield pd.DataFrame({"gram": out.view(np.int64), "value": pdf["value"]})
+
+
+def within(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
+    """Of at most TRUSTED ids, those that a running total of words, by the hash of the id, leaves within the bound."""
+    size = F.size(words_column(F.col("text")))
+    got = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.sum(size).alias("n"))
+    rows = got.where(F.col("n") <= words // 20).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # TRUSTED rows at most
+    total, taken = 0, []
+    for r in rows:
+        total += r["n"]
+        if total > words:
+            break
+        taken.append((r["doc_id"],))
+    return docs.sparkSession.createDataFrame(taken, "doc_id long")
+
+
+def _counted(name: str = "") -> list:
+    """How many of m are 1, 2, 3 and 4."""
+    return [F.count_if(F.col("m") == i).alias(f"{name}n{i}") for i in (1, 2, 3, 4)]
+
+
+def _discounts(r) -> list[float]:
+    y = r["n1"] / (r["n1"] + 2 * r["n2"]) if r["n1"] else 0.5
+    ratio = lambda a, b: r[f"n{a}"] / r[f"n{b}"] if r[f"n{b}"] else 0.0
+    raw = (1 - 2 * y * ratio(2, 1), 2 - 3 * y * ratio(3, 2), 3 - 4 * y * ratio(4, 3))
+    return [min(max(x, 0.05), cap) for x, cap in zip(raw, (0.95, 1.9, 2.8), strict=True)]
 
 
 def train(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, float]:
-    """The model as (gram, value): what each occurrence of a hashed n-gram adds to a log probability; and the log
-    probability of an unseen word. `ids` has a proven bound."""
+    """The model as (gram, value): what each occurrence of a hashed n-gram or context adds to a log probability; and the
+    log probability of an unseen word. `ids` has a proven bound (see within())."""
+    spark = docs.sparkSession
     texts = docs.join(F.broadcast(ids), "doc_id").select("text")
-    c = texts.mapInPandas(_count, "k int, gram long, context long, suffix long, n long").groupBy("k", "gram", "context", "suffix").agg(F.sum("n").alias("n"))
-    c = stored(c, "kn-counts")
-    # Lower orders count the distinct words to the left (continuation counts), the highest counts occurrences.
-    cont = c.where(F.col("k") > 1).groupBy((F.col("k") - 1).alias("k"), F.col("suffix").alias("gram")).agg(F.count("*").alias("m"))
-    c = c.where(F.col("k") == ORDER).select("k", "gram", "context", "suffix", F.col("n").alias("m")).unionByName(
-        c.where(F.col("k") < ORDER).drop("n").join(cont, ["k", "gram"])
-    )
-    c = stored(c, "kn-adjusted")
-    stats = {r["k"]: r for r in c.groupBy("k").agg(*[F.count_if(F.col("m") == i).alias(f"n{i}") for i in (1, 2, 3, 4)], F.count("*").alias("types"), F.sum("m").alias("total")).collect()}
-    if not stats:
-        return docs.sparkSession.createDataFrame([], "gram long, value double"), 0.0
+    # One shuffle by context serves the counts of trigrams and the sums of their contexts.
+    tri = texts.mapInPandas(_trigrams, "a long, b long, c long, n long").repartition("a", "b").groupBy("a", "b", "c").agg(F.sum("n").alias("m"))
+    sums = lambda w: {
+        "sum": F.sum("m").over(w), "c1": F.count_if(F.col("m") == 1).over(w), "c2": F.count_if(F.col("m") == 2).over(w), "c3": F.count_if(F.col("m") > 2).over(w),
+    }
+    by = Window.partitionBy("a", "b")
+    tri = stored(tri.withColumns(sums(by) | {"first": F.col("c") == F.min("c").over(by)}), "kn-trigrams")
+    # Lower orders count the distinct words to the left (continuation counts).
+    two = stored(tri.groupBy("b", "c").agg(F.count("*").alias("m")), "kn-bigrams")
+    one = stored(two.groupBy("c").agg(F.count("*").alias("m")), "kn-words")
     d = {}
-    for k, r in stats.items():
-        y = r["n1"] / (r["n1"] + 2 * r["n2"]) if r["n1"] else 0.5
-        ratio = lambda a, b, r=r: r[f"n{a}"] / r[f"n{b}"] if r[f"n{b}"] else 0.0
-        d[k] = [min(max(x, 0.05), cap) for x, cap in ((1 - 2 * y * ratio(2, 1), 0.95), (2 - 3 * y * ratio(3, 2), 1.9), (3 - 4 * y * ratio(4, 3), 2.8))]
-    less = lambda k: F.when(F.col("m") == 1, d[k][0]).when(F.col("m") == 2, d[k][1]).otherwise(d[k][2])
-    per = c.groupBy("k", "context").agg(F.sum("m").alias("sum"), *[F.count_if(F.col("m") == i).alias(f"c{i}") for i in (1, 2)], F.count_if(F.col("m") > 2).alias("c3"))
-    gamma = F.coalesce(*[F.when(F.col("k") == k, (F.col("c1") * d[k][0] + F.col("c2") * d[k][1] + F.col("c3") * d[k][2]) / F.col("sum")) for k in sorted(d)])
-    per = stored(per.select("k", "context", "sum", gamma.alias("gamma")), "kn-contexts")
-    one = per.where("k = 1").first()
-    unseen = one["gamma"] / (stats[1]["types"] + 1)
-    p = c.where("k = 1").select("gram", ((F.col("m") - less(1)) / one["sum"] + unseen).alias("p"))
-    values = p.select("gram", (F.log("p") - math.log(unseen)).alias("value"))
-    for k in range(2, ORDER + 1):
-        p = stored(p, f"kn-p{k - 1}")
-        own = c.where(F.col("k") == k).join(per.where(F.col("k") == k).drop("k"), "context")
-        low = own.join(p.select(F.col("gram").alias("suffix"), F.col("p").alias("low")), "suffix")
-        p_own = low.select("gram", "low", "gamma", ((F.col("m") - less(k)) / F.col("sum") + F.col("gamma") * F.col("low")).alias("p"))
-        values = values.unionByName(p_own.select("gram", (F.log("p") - F.log("gamma") - F.log("low")).alias("value")))
-        # A context's back-off weight counts at each word it precedes: keyed apart from the n-gram itself.
-        values = values.unionByName(per.where(F.col("k") == k).select(F.col("context").bitwiseXOR(F.lit(0x5BD1E995)).alias("gram"), F.log("gamma").alias("value")))
-        p = p_own.select("gram", "p")
-    return stored(values.groupBy("gram").agg(F.sum("value").alias("value")), "kn-values"), math.log(unseen)
-
-
-def _bloom(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        h = pdf["gram"].to_numpy().view(np.uint64)
-        bits = np.unique(np.concatenate([h % np.uint64(BLOOM_BITS), (fmix64(h) % np.uint64(BLOOM_BITS))]))
-        word, bit = (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63))
-        at, start = np.unique(word, return_index=True)
-        yield pd.DataFrame({"at": at, "bits": np.bitwise_or.reduceat(bit, start).view(np.int64) if len(at) else bit.view(np.int64)})
+    for k, t in ((1, one), (2, two), (3, tri)):
+        stats = t.agg(*_counted(), F.count("*").alias("types"), F.sum("m").alias("total"), F.count_if(F.col("m") > 2).alias("c3")).first()
+        if not stats["types"]:
+            return spark.createDataFrame([], "gram long, value double"), 0.0
+        d[k] = _discounts(stats)
+        if k == 1:
+            total = stats["total"]
+            unseen = (stats["n1"] * d[1][0] + stats["n2"] * d[1][1] + stats["c3"] * d[1][2]) / total / (stats["types"] + 1)
+    own = lambda k: F.col("m") - F.when(F.col("m") == 1, d[k][0]).when(F.col("m") == 2, d[k][1]).otherwise(d[k][2])
+    gamma = lambda k: (F.col("c1") * d[k][0] + F.col("c2") * d[k][1] + F.col("c3") * d[k][2]) / F.col("sum")
+    one = one.select("c", (own(1) / total + unseen).alias("low"))
+    after = two.groupBy("b").agg(
+        F.sum("m").alias("sum"), F.count_if(F.col("m") == 1).alias("c1"), F.count_if(F.col("m") == 2).alias("c2"), F.count_if(F.col("m") > 2).alias("c3")
+    ).withColumn("gamma", gamma(2))
+    two = two.join(after, "b").join(one, "c").select("b", "c", "low", "gamma", (own(2) / F.col("sum") + F.col("gamma") * F.col("low")).alias("p"))
+    two = stored(two, "kn-p2")
+    three = tri.join(two.select("b", "c", F.col("p").alias("low")), ["b", "c"]).withColumn("gamma", gamma(3))
+    three = three.withColumn("p", own(3) / F.col("sum") + F.col("gamma") * F.col("low"))
+    zero = F.lit(0).cast("long")
+    rows = lambda t, k, words, value, context=False: t.select(
+        F.lit(k).alias("k"), F.lit(context).alias("context"), *[w.alias(x) for w, x in zip([zero] * (ORDER - k) + [F.col(w) for w in words], "abc", strict=True)], value.alias("value")
+    )
+    over = F.log("p") - F.log("gamma") - F.log("low")
+    values = rows(one, 1, "c", F.log("low") - math.log(unseen))
+    values = values.union(rows(two, 2, "bc", over)).union(rows(three, 3, "abc", over))
+    # A context's back-off weight counts at each word it precedes: keyed apart from the n-gram itself.
+    values = values.union(rows(after, 1, "b", F.log("gamma"), True)).union(rows(tri.where("first"), 2, "ab", F.log(gamma(3)), True))
+    return values.mapInPandas(_keys, "gram long, value double"), math.log(unseen)
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about CHARS characters (or one longer text)."""
+    start = size = 0
+    for i, text in enumerate(batch.column("text")):
+        n = len(text.as_py() or "")
+        if i > start and size + n > CHARS:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
+def shards(keys: np.ndarray, values: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and their values, cut into shards that fit a cache."""
+    return [(keys[i : i + SHARD], values[i : i + SHARD]) for i in range(0, len(keys), SHARD)]
+
+
+def meet(model: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Sums per owner of the values of x's keys; x is met with a shard of the model at a time."""
+    order = np.argsort(x, kind="stable")
+    x, owner = x[order], owner[order]
+    out = np.zeros(n)
+    edges = [*np.searchsorted(x, np.array([keys[0] for keys, _ in model], dtype=np.uint64)), len(x)]
+    for (keys, values), lo, hi in zip(model, edges, edges[1:], strict=False):
+        if lo < hi:
+            at = np.minimum(np.searchsorted(keys, x[lo:hi]), len(keys) - 1)
+            ok = keys[at] == x[lo:hi]
+            out += np.bincount(owner[lo:hi][ok], weights=values[at[ok]], minlength=n)
+    return out
 
 
-def perplexities(docs: DataFrame, values: DataFrame, unseen: float) -> DataFrame:
-    """doc_id, lang, _key, n_words, perplexity of each distinct (doc_id, text, lang)."""
-    spark = docs.sparkSession
-    bits = values.select("gram").mapInPandas(_bloom, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits"))
-    got = bits.toPandas()  # BLOOM_BITS / 64 rows at most
-    filled = np.zeros(BLOOM_BITS // 64, dtype=np.uint64)
-    filled[got["at"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64).view(np.uint64)
-    shared = spark.sparkContext.broadcast(filled)
-
-    def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, bloom = WordHashes(), shared.value
-        for pdf in batches:
-            for at in range(0, len(pdf), 100):
-                part = pdf.iloc[at : at + 100]
-                keys, found, times = [], [], []
-                for key, text in zip(part["_key"], part["text"], strict=True):
-                    g = grams(text, hashes)
-                    n = len(g[0])
-                    every = np.concatenate([*g, *[_prefixes(text, hashes, k, n) ^ np.uint64(0x5BD1E995) for k in range(2, ORDER + 1)]]) if n else np.empty(0, np.uint64)
-                    x, c = np.unique(every, return_counts=True)
-                    y = fmix64(x)
-                    ok = _set(bloom, x) & _set(bloom, y)
-                    keys.append(np.full(int(ok.sum()) + 1, key))
-                    found.append(np.concatenate([np.zeros(1, np.int64), _signed(x[ok])]))
-                    times.append(np.concatenate([[n], c[ok]]))
-                yield pd.DataFrame({"_key": np.concatenate(keys), "gram": np.concatenate(found), "n": np.concatenate(times).astype(np.int32)})
-
-    keyed = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"), F.xxhash64("doc_id", "text", "lang").alias("_key"))
-    rows = keyed.select("_key", "text").mapInPandas(hits, "_key long, gram long, n int")
-    partial = rows.where("gram <> 0").join(values, "gram").groupBy("_key").agg(F.sum(F.col("n") * F.col("value")).alias("s"))
-    partial = stored(partial, "kn-sums")
-    heads = keyed.select("doc_id", "lang", "_key", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long").alias("n_words"))
-    out = heads.join(partial, "_key", "left")
-    mean = (F.coalesce("s", F.lit(0.0)) + F.col("n_words") * unseen) / F.col("n_words")
-    return out.select("doc_id", "lang", "n_words", F.when(F.col("n_words") > 0, F.exp(-mean)).alias("perplexity"))
-
-
-def _set(bloom: np.ndarray, x: np.ndarray) -> np.ndarray:
-    b = x % np.uint64(BLOOM_BITS)
-    return (bloom[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) == 1
+def fetch(model: DataFrame, parts: int = PARTS) -> list:
+    """The model as broadcasts of its parts, by the high bits of the key: the driver holds one part in two forms at most."""
+    model = stored(model.select("gram", F.col("value").cast("float").alias("value")), "kn-model")
+    out = []
+    for i in range(parts):
+        got = model.where(F.floor(F.shiftrightunsigned("gram", 32) * parts / 2**32) == i).toArrow()  # 5 * WORDS rows at most in all
+        keys, values = got["gram"].to_numpy().view(np.uint64), got["value"].to_numpy()
+        order = np.argsort(keys, kind="stable")
+        out.append(model.sparkSession.sparkContext.broadcast((keys[order], values[order])))
+        del got, keys, values, order
+    return out
+
+
+def perplexities(docs: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
+    """doc_id, lang, n_words, perplexity of each row."""
+    shared = fetch(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, model = WordHashes(), [x for part in shared for x in shards(*part.value)]
+        for batch in batches:
+            for part in _chunks(batch):
+                found = [features(t, hashes) for t in part.column("text").to_pylist()]
+                n = np.array([len(f[0]) for f in found], dtype=np.int64)
+                every = np.concatenate([x for f in found for x in f])
+                s = meet(model, every, np.repeat(np.arange(len(n)), 5 * n), len(n)) + n * unseen
+                perplexity = pa.array(np.exp(-s / np.maximum(n, 1)), mask=n == 0)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(n), perplexity], names=["doc_id", "lang", "n_words", "perplexity"])
+
+    return docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang")).mapInArrow(run, "doc_id long, lang string, n_words long, perplexity double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -175,7 +223,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good = bounded_ids(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "doc_id", TRUSTED)
     good = stored(good, "kn-trusted")
     held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) == 0
-    values, unseen = train(docs.select("doc_id", "text"), good.where(~held))
+    values, unseen = train(docs.select("doc_id", "text"), within(docs, good.where(~held)))
     out = stored(perplexities(docs, values, unseen), "kn-perplexity")
     sample = out.join(F.broadcast(good.where(held)), "doc_id").where("perplexity is not null")
     q = lambda: F.percentile_approx("perplexity", QUANTILE, 10_000)

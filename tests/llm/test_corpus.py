@@ -292,16 +292,32 @@ def test_kneser_ney_is_a_distribution(spark):
     hashes = kneser_ney.WordHashes()
 
     def log_prob(text):
-        g = kneser_ney.grams(text, hashes)
-        n = len(g[0])
-        every = [*g, *[kneser_ney._prefixes(text, hashes, k, n) ^ np.uint64(0x5BD1E995) for k in (2, 3)]]
-        return [unseen + sum(add.get(int(x[i].view(np.int64)), 0.0) for x in every) for i in range(n)]
+        every = kneser_ney.features(text, hashes)
+        return [unseen + sum(add.get(int(x[i].view(np.int64)), 0.0) for x in every) for i in range(len(every[0]))]
 
     for history in ("", "a", "b a", "a b", "d", "x y"):
         total = sum(math.exp(log_prob(f"{history} {w}".strip())[-1]) for w in ("a", "b", "c", "d", "unseen"))
         assert math.isclose(total, 1, rel_tol=1e-9)
 
 
+def test_kneser_ney_shards(monkeypatch):
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(1, 500, 200).astype(np.uint64))
+    values, x, owner = rng.random(len(keys)).astype(np.float32), rng.integers(0, 600, 900).astype(np.uint64), rng.integers(0, 7, 900)
+    table = dict(zip(keys.tolist(), values.tolist(), strict=True))
+    want = [sum(table.get(int(k), 0.0) for k in x[owner == i]) for i in range(7)]
+    for shard in (1, 16, 10_000):
+        monkeypatch.setattr(kneser_ney, "SHARD", shard)
+        assert np.allclose(kneser_ney.meet(kneser_ney.shards(keys, values), x, owner, 7), want)
+    assert not kneser_ney.meet([], x, owner, 7).any()
+
+
+def test_kneser_ney_training_is_bounded(spark):
+    docs = spark.createDataFrame([(i, "a b c d") for i in range(50)] + [(99, "x " * 9)], "doc_id long, text string")
+    assert kneser_ney.within(docs, docs.select("doc_id"), 160).count() == 40
+    assert kneser_ney.within(docs, docs.select("doc_id"), 10_000).count() == 51
+
+
 def test_kneser_ney_edges(spark):
     lab = spark.read.parquet(f"{DATA}/labels.parquet")
     assert kneser_ney.classify(edge(spark), labels(spark)).count() == edge(spark).count()
