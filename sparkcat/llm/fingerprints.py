@@ -141,5 +141,9 @@ def neighbours(docs: DataFrame, buckets: int | None = None) -> DataFrame:
         is_end, above = F.lit(True), F.lit(0)
     copies = F.when(is_end, F.array(here, F.struct(above.alias("bucket"), F.lit(True).alias("copy")))).otherwise(F.array(here))
     rows = docs.select("doc_id", "text", F.inline(copies))
-    rows = rows.repartition(n, "bucket").sortWithinPartitions("bucket", "copy", F.col("doc_id").desc_nulls_last(), "text")
+    # Numbers whose hashes fall into different partitions: each bucket has a partition of its own.
+    part = F.pmod(F.hash("s"), F.lit(n))
+    slots = {r["p"]: r["s"] for r in spark.range(20 * n).select(F.col("id").cast("int").alias("s")).groupBy(part.alias("p")).agg(F.min("s").alias("s")).collect()}
+    slot = F.element_at(F.array(*[F.lit(slots.get(i, i)) for i in range(n)]), F.col("bucket") + 1)
+    rows = rows.withColumn("slot", slot).repartition(n, "slot").sortWithinPartitions("bucket", "copy", F.col("doc_id").desc_nulls_last(), "text")
     return rows.mapInPandas(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
