@@ -11,7 +11,10 @@ Shape of the job, and why it holds for hot groups:
   threshold are dropped (3.9 standard deviations).
 * Larger buckets first link members to a few pivots. What those links leave apart is compared exactly, block against
   block, members outside the bucket's largest component against the rest: no pair rows, only links found.
-* Links are confirmed on full sets; components come from alternating large-star and small-star.
+* Links are confirmed on full sets, built anew from the texts: texts shuffle in half the room of their sets. First each
+  member is confirmed with its likest smaller partner; of the other pairs, only those that these links leave in different
+  components are confirmed, so a large group of near copies costs a pair a member, not all its pairs.
+* Components come from alternating large-star and small-star.
 
 Repeated rows of a doc_id are separate members with one id; null doc_ids are kept, each its own component (null).
 Extra columns are ignored. Empty tables give an empty result.
@@ -90,15 +93,16 @@ def _estimate(x: np.ndarray) -> np.ndarray:
 
 def _small_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        left, right = [], []
+        left, right, like = [], [], []
         for members in pdf["members"]:
             ids = np.array([m["rep"] for m in members], dtype=np.int64)
             s = np.frombuffer(b"".join(m["sketch"] for m in members), dtype=np.uint8).reshape(len(ids), _HASHES)
             i, j = np.triu_indices(len(ids), 1)
-            ok = _estimate((s[i] == s[j]).mean(axis=1)) >= LEAST_ESTIMATE
+            e = _estimate((s[i] == s[j]).mean(axis=1))
+            ok = e >= LEAST_ESTIMATE
             lo, hi = np.minimum(ids[i[ok]], ids[j[ok]]), np.maximum(ids[i[ok]], ids[j[ok]])
-            left.append(lo), right.append(hi)
-        yield pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)})
+            left.append(lo), right.append(hi), like.append(e[ok])
+        yield pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right), "e": np.concatenate(like)})
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -108,8 +112,13 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def _verify(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
         for pdf in batches:
-            ok = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(pdf["sa"], pdf["sb"], strict=True)]
+            ok, last, x = [], None, None
+            for ta, tb in zip(pdf["ta"], pdf["tb"], strict=True):
+                if ta != last:
+                    last, x = ta, shingles(ta, hashes)
+                ok.append(_linked(x, shingles(tb, hashes), percent))
             yield pdf.loc[np.array(ok, dtype=bool), ["a", "b"]]
 
     return run
@@ -119,9 +128,10 @@ def _near_pivot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         x = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), _HASHES)
         y = np.frombuffer(b"".join(pdf["pivot_sketch"]), np.uint8).reshape(len(pdf), _HASHES)
-        ok = _estimate((x == y).mean(axis=1)) >= 0.85
+        e = _estimate((x == y).mean(axis=1))
+        ok = e >= 0.85
         a, b = pdf["rep"][ok].to_numpy(), pdf["pivot"][ok].to_numpy()
-        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "e": e[ok]})
 
 
 def _cross(percent: int):
@@ -183,6 +193,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
+def stars(found: DataFrame) -> DataFrame:
+    """Components as links to their smallest node: they connect what the first links did, in fewer rounds from there."""
+    return found.select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -205,7 +220,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     small = (
         busy.where(F.col("n") <= SMALL).join(sketches, "rep")
         .groupBy("bucket").agg(F.collect_list(F.struct("rep", "sketch")).alias("members"))
-        .select("members").mapInPandas(_small_pairs, "a long, b long")
+        .select("members").mapInPandas(_small_pairs, "a long, b long, e double")
     )
     hot = stored(busy.where(F.col("n") > SMALL), "hot")
     pivot_ids = hot.groupBy("bucket").agg(
@@ -217,28 +232,38 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     to_pivot = (
         hot.join(sketches, "rep").join(pivots, "bucket").where("rep <> pivot")
-        .select("rep", "sketch", "pivot", "pivot_sketch").mapInPandas(_near_pivot, "a long, b long")
+        .select("rep", "sketch", "pivot", "pivot_sketch").mapInPandas(_near_pivot, "a long, b long, e double")
     )
-    pairs = stored(small.union(to_pivot).where("a <> b").distinct(), "pairs")
+    pairs = stored(small.union(to_pivot).where("a <> b").groupBy("a", "b").agg(F.max("e").alias("e")), "pairs")
 
     # Only members of pairs and hot buckets need their texts again; a Bloom filter keeps the other texts out of the shuffle.
     needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(hot.select("rep")).distinct()
     needed = stored(needed, "needed").where(F.col("rep") > F.lit(-(2**63)))
     texts = docs.where("doc_id is not null").withColumnRenamed("doc_id", "rep").join(needed, "rep", "left_semi")
-    sets = texts.mapInPandas(_sets, "rep long, members binary")
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        # Repeated ids: link on the set that the class of that id stands for is ambiguous, so take the smallest bytes.
-        sets = sets.groupBy("rep").agg(F.min("members").alias("members"))
+        # Repeated ids: link on the text that the id stands for is ambiguous, so take the smallest.
+        texts = texts.groupBy("rep").agg(F.min("text").alias("text"))
     with runtime_bloom(spark):
-        sets = stored(sets, "sets")
-    verified = (
-        pairs.join(sets.select(F.col("rep").alias("a"), F.col("members").alias("sa")), "a")
-        .join(sets.select(F.col("rep").alias("b"), F.col("members").alias("sb")), "b")
-        .mapInPandas(_verify(percent), "a long, b long")
-    )
+        texts = stored(texts, "texts")
+
+    def confirmed(some: DataFrame) -> DataFrame:
+        some = some.where(F.col("a") > F.lit(-(2**63)))
+        both = some.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
+        with runtime_bloom(spark):
+            return stored(both.mapInPandas(_verify(percent), "a long, b long"), "links")
+
     # Classes that share an id (repeated rows of one doc_id with different texts) need no edge: their id is one node.
-    links = stored(verified, "links")
+    likest = stored(pairs.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b"), "likest")
+    links = confirmed(likest)
     found = components(links)
+    label = lambda x: found.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
+    apart = pairs.select("a", "b").join(label("a"), "a", "left").join(label("b"), "b", "left")
+    apart = apart.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b").join(likest, ["a", "b"], "left_anti")
+    apart = stored(apart, "apart")
+    if apart.limit(1).count():
+        more = confirmed(apart)
+        if more.limit(1).count():
+            found = components(stars(found).union(more))
 
     if hot.limit(1).count():
         labelled = stored(
@@ -247,18 +272,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         sizes = labelled.groupBy("bucket", "label").agg(F.count("*").alias("m"))
         main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("m", "label")).alias("main"), F.count("*").alias("k"), F.sum("m").alias("all"))
         mixed = stored(main.where("k > 1").join(sizes.withColumnRenamed("label", "main"), ["bucket", "main"]).select("bucket", "main", F.expr("int(ceil((all - m) / %d))" % BLOCK).alias("rest_blocks"), F.expr("int(ceil(all / %d))" % BLOCK).alias("all_blocks")), "mixed")
-        inside = stored(labelled.join(mixed, "bucket").join(sets, "rep"), "inside")
+        inside = stored(labelled.join(mixed, "bucket"), "members")
+        ids = inside.select("rep").distinct()
+        sets = texts.join(ids, "rep", "left_semi").mapInPandas(_sets, "rep long, members binary")
+        inside = stored(inside.join(sets, "rep"), "inside")
         cut = lambda k: F.pmod(F.xxhash64("rep"), F.col(k)).cast("int")
         rest = inside.where("label <> main").select("bucket", cut("rest_blocks").alias("r"), F.explode(F.expr("sequence(0, all_blocks - 1)")).alias("m"), "rep", "label", "members")
         every = inside.select("bucket", F.explode(F.expr("sequence(0, rest_blocks - 1)")).alias("r"), cut("all_blocks").alias("m"), "rep", "label", "members")
         every = every.select(*[F.col(c).alias(c) for c in every.columns])  # names of its own: both sides stem from one frame
         more = stored(rest.groupBy("bucket", "r", "m").cogroup(every.groupBy("bucket", "r", "m")).applyInPandas(_cross(percent), "a long, b long").distinct(), "more")
         if more.limit(1).count():
-            found = components(links.union(more))
+            found = components(stars(found).union(more))
         forget(spark, labelled, mixed, inside)
     member = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
     member = stored(member, "member")
-    forget(spark, reps, counts, busy, pivots, pairs, sets)
+    forget(spark, reps, counts, busy, pivots, pairs, texts, likest, apart)
     out = signed.select("doc_id", "n_shingles", "digest").join(member, "digest", "left")
     component = F.coalesce("component_id", "doc_id")
     component = F.when(F.col("doc_id").isNotNull(), component)
