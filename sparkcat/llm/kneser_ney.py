@@ -1,14 +1,13 @@
 """Quality by an interpolated modified Kneser-Ney model of trusted text, its count tables cut into shards.
 
-The model (word n-grams up to order 3, three discounts per order) is counted from documents labelled quality 1: at most
-TRUSTED of them (smallest hashes of doc_id), nine in ten to train, the rest to calibrate. Training takes them in the order
-of that hash up to WORDS words in all, leaving out those with more than a twentieth of that. So the model has at most
-5 * WORDS numbers, whatever the corpus: that is the proven bound under which it is broadcast.
+The model (word n-grams up to order 3, three discounts per order) is counted from all documents labelled quality 1: nine
+in ten of them (by a hash of doc_id) train it, the rest calibrate. It grows with the input, so it is never broadcast.
 
 Interpolation is stored in back-off form: a document's log probability is a sum over its n-grams, where seen n-grams add
-a correction and seen contexts a back-off weight. Such a sum needs no order of words, so it is a join of counts. Both
-sides are sorted by hash and cut into shards that fit a processor's cache, and met shard by shard beside the texts: of a
-document only its sum leaves the task, and no n-gram of the corpus is ever shuffled.
+a correction and seen contexts a back-off weight. Such a sum needs no order of words, so it is a join of counts. The
+n-grams of some megabytes of text are sorted and counted, each n-gram once with the documents that have it, and cut by
+hash into as many shards as there are shuffle partitions; so is the model. Shards of one number meet in one task, and the
+sums are added up per document.
 
 Perplexity is exp(-mean log probability) per word. Per language, the bound is the QUANTILE of the calibration documents'
 perplexities times SLACK; languages with fewer than 20 of those use the bound over all. A document is kept if it does
@@ -29,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHashes, bounded_ids, fmix64, lower_ascii, stored, words_column
+from .common import WORD, WordHashes, fmix64, lower_ascii, runtime_bloom, stored, words_column
 
-ORDER, TRUSTED, WORDS, QUANTILE, SLACK = 3, 10_000, 2_000_000, 0.995, 2.0
+ORDER, WORDS, QUANTILE, SLACK = 3, 2_000_000, 0.995, 2.0
 START = 7  # the hash of the mark before a text
-PARTS, SHARD, CHARS = 8, 2**15, 400_000
+#: A chunk of texts ends at so many characters or texts; so many numbers of the model are packed at a time.
+SHARD, CHARS, TEXTS, NUMBERS = 2**15, 4_000_000, 2**16, 2**20
 _M, _CONTEXT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x5BD1E995)
 
 
@@ -84,10 +84,11 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def within(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
-    """Of at most TRUSTED ids, those that a running total of words, by the hash of the id, leaves within the bound."""
+    """Of a bounded number of ids, those that a running total of words, by the hash of the id, leaves within the bound.
+    classify() trains on all ids and has no use for it."""
     size = F.size(words_column(F.col("text")))
     got = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.sum(size).alias("n"))
-    rows = got.where(F.col("n") <= words // 20).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # TRUSTED rows at most
+    rows = got.where(F.col("n") <= words // 20).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     total, taken = 0, []
     for r in rows:
         total += r["n"]
@@ -111,16 +112,17 @@ def _discounts(r) -> list[float]:
 
 def train(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, float]:
     """The model as (gram, value): what each occurrence of a hashed n-gram or context adds to a log probability; and the
-    log probability of an unseen word. `ids` has a proven bound (see within())."""
+    log probability of an unseen word. Both grow with the texts of `ids`, which has each id once."""
     spark = docs.sparkSession
-    texts = docs.join(F.broadcast(ids), "doc_id").select("text")
+    texts = docs.join(ids, "doc_id", "left_semi").select("text")
     # One shuffle by context serves the counts of trigrams and the sums of their contexts.
     tri = texts.mapInPandas(_trigrams, "a long, b long, c long, n long").repartition("a", "b").groupBy("a", "b", "c").agg(F.sum("n").alias("m"))
     sums = lambda w: {
         "sum": F.sum("m").over(w), "c1": F.count_if(F.col("m") == 1).over(w), "c2": F.count_if(F.col("m") == 2).over(w), "c3": F.count_if(F.col("m") > 2).over(w),
     }
     by = Window.partitionBy("a", "b")
-    tri = stored(tri.withColumns(sums(by) | {"first": F.col("c") == F.min("c").over(by)}), "kn-trigrams")
+    with runtime_bloom(spark):
+        tri = stored(tri.withColumns(sums(by) | {"first": F.col("c") == F.min("c").over(by)}), "kn-trigrams")
     # Lower orders count the distinct words to the left (continuation counts).
     two = stored(tri.groupBy("b", "c").agg(F.count("*").alias("m")), "kn-bigrams")
     one = stored(two.groupBy("c").agg(F.count("*").alias("m")), "kn-words")
@@ -156,11 +158,11 @@ def train(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, float]:
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of about CHARS characters (or one longer text)."""
+    """Slices of about CHARS characters (or one longer text) and TEXTS texts at most."""
     start = size = 0
     for i, text in enumerate(batch.column("text")):
         n = len(text.as_py() or "")
-        if i > start and size + n > CHARS:
+        if i > start and (size + n > CHARS or i - start == TEXTS):
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += n
@@ -187,45 +189,98 @@ def meet(model: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, owner: np.nd
     return out
 
 
-def fetch(model: DataFrame, parts: int = PARTS) -> list:
-    """The model as broadcasts of its parts, by the high bits of the key: the driver holds one part in two forms at most."""
-    model = stored(model.select("gram", F.col("value").cast("float").alias("value")), "kn-model")
-    out = []
-    for i in range(parts):
-        got = model.where(F.floor(F.shiftrightunsigned("gram", 32) * parts / 2**32) == i).toArrow()  # 5 * WORDS rows at most in all
-        keys, values = got["gram"].to_numpy().view(np.uint64), got["value"].to_numpy()
+def _edges(keys: np.ndarray, n: int) -> list[int]:
+    """Where the n shards of sorted keys begin, and where the last one ends."""
+    return [*np.searchsorted(keys, np.array([(i * 2**64 + n - 1) // n for i in range(n)], dtype=np.uint64)).tolist(), len(keys)]
+
+
+def packed_model(model: DataFrame, n: int) -> DataFrame:
+    """The model in shards by key: each row has the sorted keys of some of a shard's numbers, and the numbers."""
+
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        keys = np.concatenate([b.column("gram").to_numpy() for b in held]).view(np.uint64)
+        values = np.concatenate([b.column("value").to_numpy() for b in held])
         order = np.argsort(keys, kind="stable")
-        out.append(model.sparkSession.sparkContext.broadcast((keys[order], values[order])))
-        del got, keys, values, order
-    return out
+        keys, values = keys[order], values[order]
+        edges = _edges(keys, n)
+        rows = [(i, keys[lo:hi].tobytes(), values[lo:hi].tobytes()) for i, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)) if lo < hi]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)]], names=["shard", "grams", "vals"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= NUMBERS:
+                yield pack(held)
+                held = []
+        if held:
+            yield pack(held)
+
+    return model.mapInArrow(run, "shard int, grams binary, vals binary")
 
-def perplexities(docs: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
-    """doc_id, lang, n_words, perplexity of each row."""
-    shared = fetch(model)
+
+def packed_texts(docs: DataFrame, n: int) -> DataFrame:
+    """The n-grams of `text` in shards by key. A row has some texts' keys of a shard, sorted and each once; how often
+    each occurs; for each occurrence the place of its text in `docs`; and `docs`, the texts' values of `_key`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, model = WordHashes(), [x for part in shared for x in shards(*part.value)]
+        hashes = WordHashes()
         for batch in batches:
             for part in _chunks(batch):
                 found = [features(t, hashes) for t in part.column("text").to_pylist()]
-                n = np.array([len(f[0]) for f in found], dtype=np.int64)
                 every = np.concatenate([x for f in found for x in f])
-                s = meet(model, every, np.repeat(np.arange(len(n)), 5 * n), len(n)) + n * unseen
-                perplexity = pa.array(np.exp(-s / np.maximum(n, 1)), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(n), perplexity], names=["doc_id", "lang", "n_words", "perplexity"])
+                owner = np.repeat(np.arange(len(found)), [5 * len(f[0]) for f in found])
+                order = np.argsort(every, kind="stable")
+                every, owner, ids = every[order], owner[order], part.column("_key").to_numpy()
+                edges, rows = _edges(every, n), []
+                for i, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
+                    if lo < hi:
+                        keys, times = np.unique(every[lo:hi], return_counts=True)
+                        texts, at = np.unique(owner[lo:hi], return_inverse=True)
+                        rows.append((i, keys.tobytes(), times.astype(np.uint32).tobytes(), at.astype(np.uint16).tobytes(), ids[texts].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3, 4)]], names=["shard", "grams", "times", "at", "docs"])
+
+    return docs.select("_key", "text").mapInArrow(run, "shard int, grams binary, times binary, at binary, docs binary")
+
+
+def _met(model: pa.Table, texts: pa.Table) -> pa.Table:
+    """Sums of a shard's values per text."""
+    def blobs(t: pa.Table, c: str, kind: type) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_buffer(), dtype=kind) for x in t.column(c)]
+
+    ids, sums = [np.empty(0, np.int64)], [np.empty(0)]
+    if model.num_rows:
+        keys, values = np.concatenate(blobs(model, "grams", np.uint64)), np.concatenate(blobs(model, "vals", np.float64))
+        order = np.argsort(keys, kind="stable")
+        cut = shards(keys[order], values[order])
+        for x, times, at, docs in zip(blobs(texts, "grams", np.uint64), blobs(texts, "times", np.uint32), blobs(texts, "at", np.uint16), blobs(texts, "docs", np.int64), strict=True):
+            ids.append(docs)
+            sums.append(meet(cut, np.repeat(x, times), at, len(docs)))
+    return pa.table({"_key": np.concatenate(ids), "s": np.concatenate(sums)})
 
-    return docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang")).mapInArrow(run, "doc_id long, lang string, n_words long, perplexity double")
+
+def perplexities(docs: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
+    """doc_id, lang, n_words, perplexity of each row."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
+    keyed = keyed.withColumn("_key", F.xxhash64("doc_id", "text", "lang"))
+    met = packed_model(model, n).groupBy("shard").cogroup(packed_texts(keyed, n).groupBy("shard")).applyInArrow(_met, "_key long, s double")
+    sums = met.groupBy("_key").agg(F.sum("s").alias("s"))
+    heads = keyed.select("doc_id", "lang", "_key", F.size(words_column(F.col("text"))).cast("long").alias("n_words"))
+    # Repeated rows have one key: their sums come together, and are shared out again.
+    heads = heads.groupBy("doc_id", "lang", "_key", "n_words").agg(F.count("*").alias("rows")).join(sums, "_key", "left")
+    mean = F.coalesce("s", F.lit(0.0)) / F.col("rows") / F.col("n_words") + unseen
+    out = heads.withColumn("perplexity", F.when(F.col("n_words") > 0, F.exp(-mean)))
+    return out.select("doc_id", "lang", "n_words", "perplexity", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).drop("col")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, n_words, perplexity, bound, kept of every document."""
-    good = bounded_ids(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "doc_id", TRUSTED)
-    good = stored(good, "kn-trusted")
+    good = stored(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "kn-trusted")
     held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) == 0
-    values, unseen = train(docs.select("doc_id", "text"), within(docs, good.where(~held)))
+    values, unseen = train(docs.select("doc_id", "text"), good.where(~held))
     out = stored(perplexities(docs, values, unseen), "kn-perplexity")
-    sample = out.join(F.broadcast(good.where(held)), "doc_id").where("perplexity is not null")
+    sample = out.join(good.where(held), "doc_id").where("perplexity is not null")
     q = lambda: F.percentile_approx("perplexity", QUANTILE, 10_000)
     overall = sample.agg(q().alias("q")).first()["q"]
     bounds = sample.groupBy("lang").agg(q().alias("q"), F.count("*").alias("n")).where("n >= 20").select("lang", (F.col("q") * SLACK).alias("bound"))

@@ -318,6 +318,35 @@ def test_kneser_ney_training_is_bounded(spark):
     assert kneser_ney.within(docs, docs.select("doc_id"), 10_000).count() == 51
 
 
+def test_kneser_ney_trains_on_all_trusted_words(spark, monkeypatch):
+    """However many words the trusted documents have, and however long one of them is."""
+    trained = []
+    train = kneser_ney.train
+    monkeypatch.setattr(kneser_ney, "train", lambda docs, ids: trained.append(ids) or train(docs, ids))
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2, F.repeat(F.lit("a b c d "), 30_000)).otherwise("a b c e").alias("text"), F.lit("en").alias("lang"))
+    docs = docs.union(docs.where("doc_id = 7"))
+    got = kneser_ney.classify(docs, spark.range(10_300).selectExpr("id as doc_id", "1 as quality", "0 as toxic"))
+    held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) == 0
+    assert trained[0].count() == spark.range(10_300).select(F.col("id").alias("doc_id")).where(~held).count()
+    assert got.count() == 301 and got.where("doc_id = 7").distinct().count() == 1 and got.where("perplexity > 5").count() == 0
+
+
+def test_kneser_ney_join_equals_lookup(spark):
+    """The sharded join gives each row the sum over its own n-grams, repeated rows included."""
+    docs = edge(spark)
+    values, unseen = kneser_ney.train(documents(spark).unionByName(docs.select("doc_id", "text"), allowMissingColumns=True), documents(spark).select("doc_id").distinct())
+    table, hashes = {r["gram"]: r["value"] for r in values.collect()}, kneser_ney.WordHashes()
+
+    def perplexity(text):
+        f = kneser_ney.features(text, hashes)
+        s = sum(table.get(int(k), 0.0) for x in f for k in x.view(np.int64)) + len(f[0]) * unseen
+        return len(f[0]), round(math.exp(-s / len(f[0])), 6) if len(f[0]) else None
+
+    want = sorted((str(r["doc_id"]), r["lang"] or "", *map(str, perplexity(r["text"]))) for r in docs.collect())
+    got = kneser_ney.perplexities(docs, values, unseen).collect()
+    assert sorted((str(r["doc_id"]), r["lang"], str(r["n_words"]), str(r["perplexity"] and round(r["perplexity"], 6))) for r in got) == want
+
+
 def test_kneser_ney_edges(spark):
     lab = spark.read.parquet(f"{DATA}/labels.parquet")
     assert kneser_ney.classify(edge(spark), labels(spark)).count() == edge(spark).count()
