@@ -187,6 +187,14 @@ def test_quality_rules(spark):
     assert quality_rules.quality_rules(edge(spark), labels(spark)).where("kept = base_failed").count() == 0
 
 
+def test_quality_rules_reject_labelled_junk(spark):
+    """Also of the junk that passes the base rules, and without losing trusted documents."""
+    docs, lab = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    got = quality_rules.quality_rules(docs.select("doc_id", "text"), lab).join(lab, "doc_id").where("not base_failed")
+    share = {r["quality"]: r["k"] for r in got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    assert share[0] < 0.05 and share[1] > 0.99
+
+
 def test_llr_score_by_hand(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     ratios = ",".join(str(i % 7) for i in range(quality_rules.BUCKETS))
