@@ -3,7 +3,7 @@
 The lexicon is learned from labelled training rows: words whose document frequency among toxic rows is far above that
 among the others (log-likelihood ratio), at most TERMS of them. Each word of a document that is not plainly known as
 harmless walks the trie while a Levenshtein automaton of the word runs along; what is accepted is a term, perhaps
-misspelled (one edit from 5 letters on, two from 12, the first letter kept). Common look-alikes (@ for a, 1 for i and so on) are folded first.
+misspelled (one edit from 5 letters on, two from 9). Common look-alikes (@ for a, 1 for i and so on) are folded first.
 Around each hit a window of words is scored for quotation (quotation marks, words of reporting) against abuse
 (address in the second person, no quotation); both kinds of hits, exact and misspelled, are features of a logistic model.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,8 +30,6 @@ from pyspark.sql import types as T
 from .common import GAP_SQL, bounded_ids, not_fold, stored
 
 SAMPLE, TERMS, WINDOW, LEAST_DF, LEAST_LLR = 20_000, 4_000, 6, 3, 9.0
-#: Terms with at least this evidence may be met misspelled, at most FUZZY of them.
-FUZZY_LLR, FUZZY = 40.0, 250
 KEEP_WORDS = 300_000
 EDGE = r"[\p{P}\p{S}]"
 STRIP = re.compile(r"^[\W_]+|[\W_]+$")
@@ -43,19 +41,35 @@ ADDRESS = set("you your you're youre u ur yourself du dich dir dein deine ihr eu
 FEATURES = 6
 
 
+def shorter(w: str, most: int) -> Iterator[str]:
+    """A word, and what is left of it without up to `most` (two at most) of its letters."""
+    yield w
+    for i in range(len(w) if most else 0):
+        x = w[:i] + w[i + 1 :]
+        yield x
+        if most == 2:
+            for j in range(i, len(x)):
+                yield x[:j] + x[j + 1 :]
+
+
+def trie(terms: Iterable[str]) -> dict:
+    root: dict = {}
+    for t in terms:
+        node = root
+        for c in t:
+            node = node.setdefault(c, {})
+        node[""] = t
+    return root
+
+
 class Lexicon:
     """A trie of weighted terms and the automaton that walks it."""
 
     def __init__(self, terms: dict[str, float], fuzzy: list[str], harmless: frozenset[str] = frozenset()):
         self.terms, self.harmless = terms, harmless
-        self.trie: dict = {}
-        for t in fuzzy:
-            node = self.trie
-            for c in t:
-                node = node.setdefault(c, {})
-            node[""] = t
+        self.trie = trie(fuzzy)
         # One edit leaves the first or the last half of a term whole; two leave its first, last or middle third whole.
-        # The first letter is taken as right (after folding), and lengths differ by the edits at most.
+        # Lengths differ by the edits at most.
         self.heads: dict[tuple, set[int]] = {}
         for t in fuzzy:
             most, n = self.edits(len(t)), len(t)
@@ -63,14 +77,19 @@ class Lexicon:
                 k = n // (most + 1)
                 pieces = [(0, t[:k]), (1, t[-k:]), *([(2, t[k : 2 * k])] if most == 2 else [])]
                 for place, piece in pieces:
-                    self.heads.setdefault((t[0], place, piece), set()).update(range(n - most, n + most + 1))
-        self.sizes = sorted({len(k[2]) for k in self.heads})
-        self.two = any(self.edits(len(t)) == 2 for t in fuzzy)
+                    self.heads.setdefault((place, piece), set()).update(range(n - most, n + most + 1))
+        # Words some edits apart agree without as many letters each.
+        self.left: dict[str, list[str]] = {}
+        for t in fuzzy:
+            for x in set(shorter(t, self.edits(len(t)))):
+                self.left.setdefault(x, []).append(t)
+        self.sizes = sorted({len(piece) for _, piece in self.heads})
+        self.middles = sorted({len(piece) for place, piece in self.heads if place == 2})
         self.seen: dict[str, tuple[str, int] | None] = {}
 
     @staticmethod
     def edits(n: int) -> int:
-        return 0 if n < 5 else 1 if n < 12 else 2
+        return 0 if n < 5 else 1 if n < 9 else 2
 
     def find(self, raw: str) -> tuple[str, int] | None:
         """The nearest term of a lower-case word and its distance; punctuation at its edges doesn't count."""
@@ -89,32 +108,36 @@ class Lexicon:
         if folded in self.terms:
             return folded, 1
         # A word that training met in harmless documents matches only exactly.
-        if word in self.harmless or not self._near(folded):
+        if word in self.harmless or not (near := self._near(folded)):
             return None
-        return self.walk(folded, self.edits(len(folded) + 1))
+        return self.walk(folded, self.edits(len(folded) + 2), trie(near))
 
-    def _near(self, w: str) -> bool:
-        """Whether a term of fitting length shares the first letter and a whole piece at nearly the same place."""
-        n, c, heads, none = len(w), w[0], self.heads, ()
+    def _near(self, w: str) -> set[str]:
+        """The terms that may be near enough, among them all that are: the part of the trie to walk."""
+        left = self.left
+        return {t for x in shorter(w, self.edits(len(w) + 2)) if x in left for t in left[x]} if self._piece(w) else set()
+
+    def _piece(self, w: str) -> bool:
+        """Whether a term of fitting length shares a whole piece at nearly the same place."""
+        n, heads, none = len(w), self.heads, ()
         for k in self.sizes:
-            if n in heads.get((c, 0, w[:k]), none) or n in heads.get((c, 1, w[-k:]), none):
+            if n in heads.get((0, w[:k]), none) or n in heads.get((1, w[-k:]), none):
                 return True
-            if n >= 10 and self.two:
+        if n >= 7:
+            for k in self.middles:
                 for i in range(max(0, k - 2), min(k + 3, n - k + 1)):
-                    if n in heads.get((c, 2, w[i : i + k]), none):
+                    if n in heads.get((2, w[i : i + k]), none):
                         return True
         return False
 
-    def walk(self, word: str, most: int) -> tuple[str, int] | None:
-        """Intersect the trie with the Levenshtein automaton of a word; its states are rows of edit counts up to `most`."""
+    def walk(self, word: str, most: int, part: dict | None = None) -> tuple[str, int] | None:
+        """Intersect the trie (or a part of it) with the Levenshtein automaton of a word; its states are rows of edit
+        counts up to `most`."""
         if not most:
             return None
         n, top = len(word), most + 1
         found: tuple[int, str] | None = None
-        first = self.trie.get(word[0])
-        if first is None:
-            return None
-        stack = [(first, tuple(min(abs(i - 1), top) for i in range(n + 1)))]
+        stack = [(part or self.trie, tuple(min(i, top) for i in range(n + 1)))]
         while stack:
             node, row = stack.pop()
             for c, child in node.items():
@@ -195,9 +218,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     picked = df.where(F.col("a") >= LEAST_DF).select("w", llr.alias("llr"), odds.alias("odds")).where((F.col("llr") >= LEAST_LLR) & (F.col("odds") > 1.5))
     top = picked.orderBy(F.desc("llr"), "w").limit(TERMS).collect()
     terms = {r["w"]: min(r["odds"], 6.0) for r in top}
-    fuzzy = [r["w"] for r in top if r["llr"] >= FUZZY_LLR][:FUZZY]
     frequent = df.where("a < 0.5 * n and n >= 2").orderBy(F.desc("n"), "w").limit(50_000).select("w")
-    model = {"terms": terms, "fuzzy": fuzzy, "harmless": [r["w"] for r in frequent.collect() if r["w"] not in terms]}
+    model = {"terms": terms, "fuzzy": list(terms), "harmless": [r["w"] for r in frequent.collect() if r["w"] not in terms]}
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

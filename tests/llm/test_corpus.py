@@ -227,6 +227,24 @@ def test_automaton_equals_edit_distance():
         assert not near or w in terms or lex._near(w)
 
 
+def test_misspelled_terms_are_found_anywhere():
+    """Two edits from 9 letters, also of the first letter, and for each term of the lexicon."""
+    filler = [f"{a}{b}{c}{d}zzz" for a in "bcdfg" for b in "hjklm" for c in "npqrs" for d in "tvwxy"]
+    terms = [*filler, "worthless", "disgusting", "idiot"]
+    lex = toxicity.Lexicon(dict.fromkeys(terms, 1.0), terms)
+    for w, want in (("wrothless", "worthless"), ("disgsuting", "disgusting"), ("xorthless", "worthless"), ("orthless", "worthless"), ("qisgustin", "disgusting"), ("rthless", "worthless"), ("jdiot", "idiot"), ("diot", "idiot")):
+        assert lex.find(w) == lex.walk(w, lex.edits(len(w) + 2)) and lex.find(w)[0] == want
+    assert lex.find("table") is None and lex.find("horseback") is None
+
+
+def test_every_term_may_be_misspelled(spark):
+    """Also beyond the 250 strongest."""
+    bad = [f"{a}{b}{c}schimpf" for a in "bdfgk" for b in "aeiou" for c in "lmnrstwxbdfg"]
+    rows = [(i, " ".join(bad) if i % 4 == 0 else "ein ganz normaler text ohne boeses wort hier drin") for i in range(400)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels(spark, [(i, 1, int(i % 4 == 0)) for i in range(400)]))
+    assert len(model["terms"]) == len(bad) == 300 and set(model["fuzzy"]) == set(bad)
+
+
 def test_quotation_counts_less():
     lex = toxicity.Lexicon({"idiot": 5.0}, ["idiot"])
     abuse, quoted = toxicity.features("you are an idiot", lex), toxicity.features('the report called him an "idiot" in court', lex)
