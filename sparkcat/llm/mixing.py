@@ -4,8 +4,9 @@ Tokens (words) are summed per cell (source, language, topic); cells are raked un
 marginals meet the targets. A document is kept with its cell's probability, by a number drawn from a hash of its doc_id:
 the same document gets the same draw in every run and on every partitioning.
 
-Cells are bounded before they reach the driver: the KEEP largest sources and languages by tokens keep their names, all
-others share the cell value 'other'; topics are the five of topic_of(). Every document belongs to a cell.
+Every source and language keeps its name, however many there are; topics are the five of topic_of(). The cells that have
+tokens are raked on the driver: its memory and time grow with their number, not with that of documents. Every document
+belongs to a cell.
 
 Targets, where none are given, are the marginals' token shares to the power ALPHA (a temperature that lifts small ones).
 Null sources and languages are the value ''; null and empty texts have no tokens and take their cell's probability.
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 
 from .common import GAP_SQL
 
-KEEP, ALPHA, SHARE, ROUNDS, CLOSE = 64, 0.7, 0.9, 200, 1e-9
+ALPHA, SHARE, ROUNDS, CLOSE = 0.7, 0.9, 200, 1e-9
+#: Up to so many cells (some megabytes) their probabilities are broadcast; more are joined as Spark sees fit.
+BROADCAST = 100_000
 AXES = ("_source", "_lang", "_topic")
 
 
@@ -82,22 +85,13 @@ def probabilities(cells: Mapping[tuple, float], weights: Mapping[tuple, float],
 
 
 def with_cells(docs: DataFrame) -> tuple[DataFrame, dict[tuple, float]]:
-    """docs with its cell and tokens, and the cells' tokens ((KEEP + 1)**2 * 5 at most)."""
+    """docs with its cell and tokens, and the cells' tokens."""
     base = docs.withColumns({
-        "_s": F.coalesce("source", F.lit("")), "_l": F.coalesce("lang", F.lit("")), "_topic": topic_of(F.col("text")), "_tokens": n_words(F.col("text")),
+        "_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit("")), "_topic": topic_of(F.col("text")), "_tokens": n_words(F.col("text")),
     })
-    # One pass over the texts; the sums by source, language and topic are small beside them.
-    sums = base.groupBy("_s", "_l", "_topic").agg(F.sum("_tokens").alias("t"))
-    top = lambda c: [r[0] for r in sums.groupBy(c).agg(F.sum("t").alias("t")).orderBy(F.desc("t"), c).limit(KEEP).collect()]
-    sums = sums.persist()
-    try:
-        sources, langs = top("_s"), top("_l")
-        named = lambda c, keep: F.when(F.col(c).isin(keep), F.col(c)).otherwise("other") if keep else F.lit("other")
-        axes = {"_source": named("_s", sources), "_lang": named("_l", langs)}
-        cells = {tuple(r[a] for a in AXES): r["t"] or 0 for r in sums.withColumns(axes).groupBy(*AXES).agg(F.sum("t").alias("t")).collect()}
-    finally:
-        sums.unpersist()
-    return base.withColumns(axes).drop("_s", "_l"), cells
+    # One pass over the texts.
+    sums = base.groupBy(*AXES).agg(F.sum("_tokens").alias("t")).where("t > 0")
+    return base, {tuple(r[a] for a in AXES): r["t"] for r in sums.toLocalIterator()}
 
 
 def temperature_targets(cells: Mapping[tuple, float], alpha: float = ALPHA) -> list[dict]:
@@ -115,11 +109,9 @@ def mixed(docs: DataFrame, targets: list[Mapping] | None = None, share: float =
     base, cells = with_cells(docs)
     weights = rake(cells, targets or temperature_targets(cells))
     p = probabilities(cells, weights, share)
-    key = F.concat_ws("\x1f", *AXES)
-    table = F.lit(None).cast("double")
-    if p:
-        pairs = [x for k, v in sorted(p.items()) for x in (F.lit("\x1f".join(k)), F.lit(v))]
-        table = F.element_at(F.create_map(*pairs), key)
+    table = docs.sparkSession.createDataFrame([(*k, v) for k, v in sorted(p.items())], "_s string, _l string, _t string, _p double")
+    table = F.broadcast(table) if len(p) <= BROADCAST else table
+    base = base.join(table, (F.col("_source") == F.col("_s")) & (F.col("_lang") == F.col("_l")) & (F.col("_topic") == F.col("_t")), "left")
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("mix")), F.lit(2**53)) / float(2**53)
-    out = base.withColumn("keep_prob", F.coalesce(table, F.lit(share))).withColumn("sampled", draw < F.col("keep_prob"))
-    return out.withColumnsRenamed({"_topic": "topic", "_tokens": "n_tokens"}).drop("_source", "_lang")
+    out = base.withColumn("keep_prob", F.coalesce("_p", F.lit(share))).withColumn("sampled", draw < F.col("keep_prob"))
+    return out.withColumnsRenamed({"_topic": "topic", "_tokens": "n_tokens"}).drop("_source", "_lang", "_s", "_l", "_t", "_p")

@@ -282,6 +282,20 @@ def test_mixing(spark):
     assert mixing.mixed(edge(spark)).count() == edge(spark).count() and mixing.mixed(none(spark)).count() == 0
 
 
+def test_mixing_pools_no_source(spark):
+    """Each of more than 64 sources has its own target, also a small one, and one that is called 'other'."""
+    size = {f"s{i:03d}": 1 + i % 9 for i in range(150)} | {"other": 4}
+    rows = [(1000 * k + j, "w " * 50, "en", name) for k, (name, n) in enumerate(size.items()) for j in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    prob = lambda got: {r["source"]: r["keep_prob"] for r in got.select("source", "keep_prob").distinct().collect()}
+    lifted = prob(mixing.mixed(docs, share=0.3))
+    assert lifted.keys() == size.keys()
+    for name, n in size.items():
+        assert math.isclose(lifted[name] / lifted["other"], (n / 4) ** (mixing.ALPHA - 1), rel_tol=1e-6)
+    aimed = prob(mixing.mixed(docs, [{"s000": 1.0, "other": 1.0}, {"en": 1.0}, {"short": 1.0}], 0.002))
+    assert 0 < aimed["other"] < aimed["s000"] and all(aimed[x] == 0 for x in size if x not in ("s000", "other"))
+
+
 def test_lattice_marginal_is_the_sum_over_segmentations():
     p = lattice_lm.Pieces(queries.tokenizer_file("piece_bpe_32k.model"))
 
