@@ -11,8 +11,19 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of traditional script with their simplified forms, as far as catalogue titles need them (fixed values).
-SIMPLIFIED = str.maketrans("慶餘萬與學國電視劇戰爭愛們說話門開關東長風雲龍馬鳥魚裡點無問聲樂兒個來時會對過還這進遠邊", "庆余万与学国电视剧战争爱们说话门开关东长风云龙马鸟鱼里点无问声乐儿个来时会对过还这进远边")
+#: Characters of traditional script with their simplified forms: the reference's table and some more (fixed values).
+SIMPLIFIED = str.maketrans(
+    "慶餘萬與學國電視劇戰爭愛們說話門開關東長風雲龍馬鳥魚裡點無問聲樂兒個來時會對過還這進遠邊為動華園圓團圖場種稱覺應當雙處聽"
+    "傳連遲醫間聞體髮鬥鳴麗黃齒龜係億優夥傷倫偉側偵傑備價儀兩冊準擊別創劉則剛勳勵勸區協單賣衛衝術裝補製複親觀規覽訂計訓記訪設"
+    "許訴診註詩誕語誠誤誘讀變讓讚貓貝財負貨責貴買費資賽贊贈車軍轉輪輸辦農運達違選遺銀錢鋼錄鐘鐵閃陣陸陳陰陽階隨隱難靈韓順頭題"
+    "顏願飛養館駕驚齊敵數斷舊歷歸殺歲懸戀戲導專尋將島師帶幫廣廠廈彈強後從憶懷總續終結絕經綠線網練維緊績織紅約級納純紙紛細紹統"
+    "絲綜繪繫繼纏纖",
+    "庆余万与学国电视剧战争爱们说话门开关东长风云龙马鸟鱼里点无问声乐儿个来时会对过还这进远边为动华园圆团图场种称觉应当双处听"
+    "传连迟医间闻体发斗鸣丽黄齿龟系亿优伙伤伦伟侧侦杰备价仪两册准击别创刘则刚勋励劝区协单卖卫冲术装补制复亲观规览订计训记访设"
+    "许诉诊注诗诞语诚误诱读变让赞猫贝财负货责贵买费资赛赞赠车军转轮输办农运达违选遗银钱钢录钟铁闪阵陆陈阴阳阶随隐难灵韩顺头题"
+    "颜愿飞养馆驾惊齐敌数断旧历归杀岁悬恋戏导专寻将岛师带帮广厂厦弹强后从忆怀总续终结绝经绿线网练维紧绩织红约级纳纯纸纷细绍统"
+    "丝综绘系继缠纤",
+)
 DIGITS = {c: i for i, c in enumerate("零一二三四五六七八九")} | {"〇": 0, "两": 2}
 UNITS = {"十": 10, "百": 100, "千": 1000}
 ROMAN = {chr(0x2160 + i): str(i + 1) for i in range(12)} | {chr(0x2170 + i): str(i + 1) for i in range(12)}

@@ -120,3 +120,9 @@ def test_stream_dedupe_keeps_one_row_per_key_and_day(spark, tmp_path):
     got = catalog.queries()["q_stream_dedupe"](spark, DATA)
     assert got.groupBy("user_id", "event_type").count().count() <= got.count()
     assert S is not None and got.select("event_id").distinct().count() == got.count()
+
+
+def test_traditional_titles_meet_simplified_ones():
+    from sparkcat.functions.udf import title_parts
+
+    assert [title_parts(x)[0] for x in ("為動華園傳體", "龜優傷偵傑億")] == ["为动华园传体", "龟优伤侦杰亿"]
