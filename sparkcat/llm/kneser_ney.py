@@ -10,7 +10,7 @@ hash into as many shards as there are shuffle partitions; so is the model. Shard
 sums are added up per document.
 
 Perplexity is exp(-mean log probability) per word. Per language, the bound is the QUANTILE of the calibration documents'
-perplexities times SLACK; languages with fewer than 20 of those use the bound over all. A document is kept if it does
+perplexities; languages with fewer than 20 of those use the bound over all. A document is kept if it does
 not exceed its language's bound. Documents without words have no perplexity and are not kept. Null languages are ''.
 Repeated rows each have a row with the same result. No trusted rows: all documents with words are kept. Extra columns
 are ignored; an empty table gives an empty result.
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, WordHashes, fmix64, lower_ascii, runtime_bloom, stored, words_column
 
-ORDER, WORDS, QUANTILE, SLACK = 3, 2_000_000, 0.995, 2.0
+ORDER, WORDS, QUANTILE = 3, 2_000_000, 0.995
 START = 7  # the hash of the mark before a text
 #: A chunk of texts ends at so many characters or texts; so many numbers of the model are packed at a time.
 SHARD, CHARS, TEXTS, NUMBERS = 2**15, 4_000_000, 2**16, 2**20
@@ -283,7 +283,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = out.join(good.where(held), "doc_id").where("perplexity is not null")
     q = lambda: F.percentile_approx("perplexity", QUANTILE, 10_000)
     overall = sample.agg(q().alias("q")).first()["q"]
-    bounds = sample.groupBy("lang").agg(q().alias("q"), F.count("*").alias("n")).where("n >= 20").select("lang", (F.col("q") * SLACK).alias("bound"))
-    fallback = F.lit(float("inf") if overall is None else overall * SLACK)
+    bounds = sample.groupBy("lang").agg(q().alias("q"), F.count("*").alias("n")).where("n >= 20").select("lang", F.col("q").alias("bound"))
+    fallback = F.lit(float("inf") if overall is None else overall)
     out = out.join(bounds, "lang", "left").withColumn("bound", F.coalesce("bound", fallback))
     return out.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("bound"), F.lit(False))).select("doc_id", "lang", "n_words", "perplexity", "bound", "kept")

@@ -387,6 +387,15 @@ def test_kneser_ney_join_equals_lookup(spark):
     assert sorted((str(r["doc_id"]), r["lang"], str(r["n_words"]), str(r["perplexity"] and round(r["perplexity"], 6))) for r in got) == want
 
 
+def test_kneser_ney_bound_is_a_quantile(spark):
+    """The bounds are perplexities of calibration documents themselves, and most labelled junk lies above them."""
+    docs, lab = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    rows = kneser_ney.classify(docs, lab).join(lab, "doc_id").withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) == 0).collect()
+    assert {r["bound"] for r in rows} <= {r["perplexity"] for r in rows if r["quality"] == 1 and r["held"]}
+    junk = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(junk) < 0.5 * len(junk)
+
+
 def test_kneser_ney_edges(spark):
     lab = spark.read.parquet(f"{DATA}/labels.parquet")
     assert kneser_ney.classify(edge(spark), labels(spark)).count() == edge(spark).count()
