@@ -7,8 +7,10 @@ own text gives just these two tokens again. The encoder takes, from left to righ
 pass found at the position and that is compatible with the token before it; where none is, it steps back, and a position
 found to be a dead end is not entered again, so the work is linear in the matches.
 
-Null and empty texts have no tokens. Every row gives one row; repeated rows are encoded alike. Words already met are kept
-in a table of fixed size per worker (a memory bound). The vocabulary's path is a parameter.
+Null and empty texts have no tokens. Every row gives one row, those with a null doc_id too; repeated rows and ties are
+encoded alike. Very long texts are encoded whole, their work linear in their length. Extra columns are ignored, whatever
+their names; an empty table gives an empty result. Words already met are kept in a table of fixed size per worker (a
+memory bound, not a cap: a word met again is encoded again). The vocabulary's path is a parameter.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +30,10 @@ from pyspark.sql import DataFrame
 
 #: Below this character all versions of Unicode's tables in use agree on letters and digits.
 LAST_COMMON = "\u0400"
-KEEP_WORDS, KEEP_PAIRS = 200_000, 500_000
+KEEP_WORDS, KEEP_PAIRS = 250_000, 1_000_000
+#: Texts of up to so many units are merged by plain scans for the least rank, longer ones by a heap.
+SHORT = 24
+NEVER = (1 << 60, -1)
 
 
 def byte_alphabet() -> list[str]:
@@ -49,6 +55,8 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        # What all special tokens start with: a text without it has none of them.
+        self.special_start = os.path.commonprefix(list(self.special))
         library = Tokenizer.from_file(path)
         self.normalize, self.presplit = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -67,6 +75,7 @@ class WordBpe:
         self.single = {u: i for i, u in self.units.items() if len(u) == 1}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}  # the words kept before: those met again stay
         # The offset table: all token texts in one buffer, each after a space.
         size = max([*self.vocab.values(), *self.special.values()]) + 1
         texts = [b""] * size
@@ -84,6 +93,8 @@ class WordBpe:
     def merged(self, units: str) -> list[int]:
         """Exact merging in rank order, for the short texts of token pairs."""
         ids = [self.single[u] for u in units]
+        if len(ids) <= SHORT:
+            return self._merged_short(ids)
         nxt, prv, alive = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)], [True] * len(ids)
         heap = [(*self.rank[p], i) for i in range(len(ids) - 1) if (p := (ids[i], ids[i + 1])) in self.rank]
         heapq.heapify(heap)
@@ -100,6 +111,19 @@ class WordBpe:
                     heapq.heappush(heap, (*found, a))
         return [x for x, ok in zip(ids, alive, strict=True) if ok]
 
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        get = self.rank.get
+        ranks = [get(p, NEVER) for p in zip(ids, ids[1:])]
+        while ranks and (least := min(ranks)) is not NEVER:
+            i = ranks.index(least)
+            ids[i : i + 2] = [least[1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), NEVER)
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), NEVER)
+        return ids
+
     def compatible(self, a: int, b: int) -> bool:
         """The pair-compatibility table, filled as pairs are met. a = -1: b stands alone at a word's start."""
         if (got := self.pairs.get((a, b))) is None:
@@ -112,28 +136,27 @@ class WordBpe:
     def encode_units(self, units: str) -> tuple[int, ...]:
         n = len(units)
         at: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for last, (length, token) in self.match.iter(units):
-            at[last - length + 1].append((length, token))
-        for found in at:
-            found.sort(reverse=True)
-        dead, path, pos, pick = set(), [], 0, 0
+        for last, found in self.match.iter(units):
+            at[last - found[0] + 1].append(found)  # matches come by their ends: the longest at a position is the last
+        dead, path, pos, pick = set(), [], 0, 1
+        pairs, compatible, before = self.pairs, self.compatible, -1
         while pos < n:
-            before = path[-1][1] if path else -1
             options = at[pos]
-            while pick < len(options):
-                length, token = options[pick]
-                if pos + length not in dead and self.compatible(before, token):
+            while pick <= len(options):
+                length, token = options[-pick]
+                if pos + length not in dead and ((ok := pairs.get((before, token))) or (ok is None and compatible(before, token))):
                     break
                 pick += 1
-            if pick < len(options):
+            if pick <= len(options):
                 path.append((pos, token, pick))
-                pos, pick = pos + length, 0
+                pos, pick, before = pos + length, 1, token
             elif path:
                 # Whether a position can be left depends on the token before it only through its last pair, and the first
                 # token that reaches it by a valid path is the one of the only valid encoding of that prefix.
                 dead.add(pos)
                 pos, _, pick = path.pop()
                 pick += 1
+                before = path[-1][1] if path else -1
             else:
                 return tuple(self.merged(units))
         return tuple(t for _, t, _ in path)
@@ -143,16 +166,21 @@ class WordBpe:
         got = self.words.get(word)
         if got is None:
             if len(self.words) > KEEP_WORDS:
+                # Emptied in place, as encode() holds on to the table.
+                self.older = dict(self.words)
                 self.words.clear()
-            text = text or "".join([self.bytes[b] for b in word.encode()])
-            got = self.words[word] = self.encode_units(text[:-1] + self.end_unit[text[-1]] if self.end else text)
+            got = self.older.get(word)
+            if got is None:
+                text = text or "".join([self.bytes[b] for b in word.encode()])
+                got = self.encode_units(text[:-1] + self.end_unit[text[-1]] if self.end else text)
+            self.words[word] = got
         return got
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
         if not text:
             return out
-        parts = self.special_split.split(text) if self.special_split and "<|" in text else [text]
+        parts = self.special_split.split(text) if self.special_split and self.special_start in text else [text]
         word, words, extend = self.word, self.words, out.extend
         for part in parts:
             if part in self.special:
