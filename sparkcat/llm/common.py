@@ -33,10 +33,13 @@ def words_column(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset and all runs on one
+    machine (tests). On a cluster without it, a folder of one machine would lose data: that is an error."""
     global _own_dir
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         _own_dir = _own_dir or "file://" + tempfile.mkdtemp(prefix="sparkcat-")
         found = _own_dir
     return found.rstrip("/")
@@ -58,8 +61,13 @@ def forget(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete tables that stored() wrote and that no later step reads."""
     for df in frames:
         for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_path(spark, f)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
