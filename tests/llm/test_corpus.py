@@ -1,9 +1,11 @@
 """Corpus operators against brute force, round trips and held-out labels, with the edge cases each must handle."""
 
 import base64
+import gzip
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 from functools import reduce
@@ -104,18 +106,57 @@ def test_bpe_equals_library(spark):
 
 
 def test_warc_round_trip_with_copies(spark):
-    rows = [(1, "u", "<p>a</p>\r\n\r\nWARC/1.1\r\n"), (2, "u\r\nX: y", "same ü"), (3, "v", "same ü"), (4, None, None), (5, "w", ""), (9, "w", "same ü"), (9, "w", "same ü"), (10, "w", "x" * 300_000)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows = [(1, "u", "<p>a</p>\r\n\r\nWARC/1.1\r\n"), (2, "u\r\nX: y", "same ü"), (3, "v", "same ü"), (4, None, None), (5, "w", ""), (9, "w", "same ü"), (9, "w", "same ü"), (10, "w", "x" * 300_000), (11, "w", "\r\n\r\n"), (12, "w", "a\r\n\r\n\r\n\r\n")]
+    pages = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], "page_id long, url string, html string, id string, record_type string, payload_bytes int")
     got = warc.round_trip(pages).collect()
     best = {}
     for i, _, h in rows:
         best[h or ""] = max(best.get(h or "", -1), i)
     want = sorted((i, len((h or "").encode()), base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode(), "response" if best[h or ""] == i else "revisit", best[h or ""] if best[h or ""] != i else -1) for i, _, h in rows)
     assert sorted((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], -1 if r["refers_to"] is None else r["refers_to"]) for r in got) == want
-    nulls = spark.createDataFrame([(None, "u", "a"), (None, "u", "a")], pages.schema)
+    nulls = spark.createDataFrame([(None, "u", "a"), (None, "u", "a")], "page_id long, url string, html string")
     assert [r["record_type"] for r in warc.round_trip(nulls).collect()] == ["response"] * 2 and warc.round_trip(pages.limit(0)).count() == 0
 
 
+def foreign(kind, rid, date, block, more="", content="application/http; msgtype=response"):
+    """A record as another program may write it: WARC/1.0, other order and case of fields, a gzip member of its own."""
+    head = f"WARC/1.0\r\ncontent-length: {len(block)}\r\nWARC-Type: {kind}\r\nWARC-Date: {date}\r\nWARC-Record-ID: <urn:x:{rid}>\r\nContent-Type: {content}\r\nWARC-Target-URI: http://a.b/{rid}{more}\r\n\r\n"
+    return gzip.compress(head.encode() + block + b"\r\n\r\n")
+
+
+def test_warc_of_another_program_is_resolved(spark, tmp_path):
+    """Revisits that came in, copies, binary payloads, and records of other kinds."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n"
+    body = b"\xff\x00binary\r\n\r\nWARC/1.1\r\n\r\n" * 3
+    digest = f"\r\nWARC-Payload-Digest: sha1:{warc.base32_sha1(body)}"
+    lost = f"\r\nWARC-Payload-Digest: sha1:{warc.base32_sha1(b'gone')}\r\nWARC-Refers-To: <urn:x:gone>"
+    records = [
+        foreign("warcinfo", "i", "2020-01-01T00:00:00Z", b"software: other", content="application/warc-fields"),
+        foreign("response", "b", "2020-01-03T00:00:00Z", http % len(body) + body), foreign("response", "a", "2020-01-02T00:00:00Z", http % len(body) + body),
+        foreign("revisit", "c", "2020-01-04T00:00:00Z", http % len(body), digest), foreign("revisit", "d", "2020-01-05T00:00:00Z", b"", lost),
+        foreign("request", "e", "2020-01-02T00:00:00Z", b"GET / HTTP/1.1", "\r\nWARC-Concurrent-To: <urn:x:a>", "application/http; msgtype=request"), foreign("resource", "f", "2020-01-06T00:00:00Z", body, content="image/png"),
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.warc.gz").write_bytes(b"".join(records[:4]))
+    (tmp_path / "in" / "y.warc.gz").write_bytes(b"".join(records[4:]))
+    warc.deduplicated(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out")
+    got = {r["uri"][-1]: r for r in warc.read(spark, f"file://{tmp_path}/out").collect()}
+    assert {k: r["record_type"] for k, r in got.items()} == {"a": "response", "b": "revisit", "c": "revisit", "d": "revisit", "e": "request", "f": "revisit"}
+    assert bytes(got["a"]["payload"]) == body and got["a"]["date"] == "2020-01-02T00:00:00Z" and bytes(got["e"]["payload"]) == b"GET / HTTP/1.1"
+    assert {got[k]["refers_to_id"] for k in "bcf"} == {got["a"]["record_id"]} and got["d"]["refers_to_id"] == "<urn:x:gone>"
+    assert {got[k]["payload_bytes"] for k in "abcf"} == {len(body)} and f"warc-concurrent-to: {got['a']['record_id']}" in got["e"]["fields"]
+    assert len({r["record_id"] for r in got.values()} | {"<urn:x:a>"}) == 7
+
+
+def test_warc_damage_is_an_error(spark, tmp_path):
+    whole = gzip.decompress(foreign("response", "a", "2020-01-02T00:00:00Z", b"HTTP/1.1 200 OK\r\n\r\nabc", "\r\nWARC-Payload-Digest: sha1:" + warc.base32_sha1(b"abc")))
+    for name, data in (("short", whole[:-6]), ("long", whole.replace(b"abc", b"abcd")), ("other", whole.replace(b"abc", b"abd")), ("no", b"x" + whole)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.gz").write_bytes(gzip.compress(data))
+        with pytest.raises(Exception, match="WARC|digest"):
+            warc.read(spark, f"file://{tmp_path}/{name}").collect()
+
+
 def test_fingerprints(spark):
     docs = documents(spark)
     got = {r["doc_id"]: r for r in fingerprints.neighbours(docs, 5).collect()}
@@ -155,6 +196,38 @@ def test_html(spark):
         assert got[r["page_id"]]["text"] == "\n".join(b for b in want if b)
     odd = spark.createDataFrame([(1, None, None), (2, "", ""), (3, "x", "plain <"), (3, "x", "plain <"), (None, "http://a.b/c", "<p>hi</p>" * 20_000)], pages.schema)
     assert sorted(r["n_chars"] for r in html_text.extract(odd).collect()) == [0, 0, 7, 7, 59999] and html_text.extract(odd.limit(0)).count() == 0
+    clashing = odd.selectExpr("*", "'h' as host", "'p' as path", "'t' as text", "1 as n_chars", "2 as votes")
+    assert sorted(r["n_chars"] for r in html_text.extract(clashing).collect()) == [0, 0, 7, 7, 59999]
+
+
+@pytest.mark.parametrize("attributes", ["style='overflow:hidden'", "data-id='menu'", "data-role='form'", "title='a hidden gem'", "class='content with-sidebar'", "class='post no-comments'", "title=it's", "data-x='a>b'"])
+def test_html_keeps_articles_whatever_other_attributes_say(attributes):
+    assert html_text.main_text(html_text.parse(f"<body><p>x</p><div {attributes}><p>hello world</p></div></body>"), None) == "hello world"
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "style='color:red; display: none'", "class=sidebar", "class='x site-footer'", "class=siteFooter", "id=comments", "class='ad-slot'", "role=navigation", "aria-hidden='true'"])
+def test_html_drops_what_names_itself(attributes):
+    assert html_text.main_text(html_text.parse(f"<body><p>x</p><div {attributes}><p>hello world</p></div></body>"), None) == "x"
+
+
+def test_html_forms_headers_and_several_articles():
+    text = lambda s: html_text.main_text(html_text.parse(s), None)
+    assert text("<body><form action=x><div><p>long text of a page</p><input name=q><label>L</label><button>go</button></div></form><form><p>sub</p><input></form>") == "long text of a page"
+    assert text("<div class='post'><header><h1>Title</h1><p>by</p></header><p>text</p></div>") == "Title\ntext"
+    assert text("<article><p>one</p></article><article><p>two two</p></article>") == "one\ntwo two"
+    assert text("<html><head><title>t</title><meta x><body><p>no end of head") == "no end of head"
+    assert text("<p>a < b &amp; c</p>") == "a < b & c"
+
+
+@pytest.mark.parametrize("source", [
+    "<p>hello</p><img " + 'a="b" ' * 1_700_000, '<p>hello</p><img a="' + "b " * 5_000_000, "<p>hello</p>" + '<a b="' * 400_000, "<p>hello</p>" + "<a b='c\">" * 100_000,
+    "<p>hello</p>" + "<div>" * 50_000, "<div>" * 30_000 + "<p>hello</p></div>" * 30_000, "<b>" * 30_000 + "<p>hello" * 30_000, "<p>hello</p>" + "<!--" * 100_000, "<p>hello</p>" + "<section>" * 20_000 + "</section></i>" * 20_000,
+])
+def test_html_takes_time_in_proportion(source):
+    """Cut-off tags, quotation marks that never close, and deep nesting, each of which could cost a square or worse."""
+    began = time.process_time()
+    assert html_text.main_text(html_text.parse(source), None).startswith("hello")
+    assert time.process_time() - began < 5
 
 
 def test_consensus_path_wins_over_a_pages_own():
