@@ -15,16 +15,14 @@ from pyspark.sql import functions as F
 #: A word is a run of characters other than space, tab, line feed, vertical tab, form feed and return.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 GAP_SQL = "[\\x20\\x09-\\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ASCII_LOWER = {ord(a): b for a, b in zip(UPPER, LOWER, strict=True)}
 _own_dir: str | None = None
 
 
 def lower_ascii(text: str | None) -> str:
-    """Lower-case A-Z only. Plain ASCII texts take the faster str.lower()."""
+    """Lower-case A-Z only: bytes.lower() leaves all other bytes as they are."""
     if not text:
         return ""
-    return text.lower() if text.isascii() else text.translate(ASCII_LOWER)
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def words_column(text: Column) -> Column:

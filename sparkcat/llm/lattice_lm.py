@@ -1,25 +1,31 @@
 """LM scoring by subword lattices: the marginal probability of a text over all segmentations of its words.
 
-Pieces are those of an existing unigram vocabulary (a SentencePiece file, its path a parameter). Their scores are ranks,
-so they start as Zipf weights of the rank and take one expectation step over the whole training corpus: every distinct
-training word, weighted by its count, sends its expected piece counts (forward and backward recursions in log space).
-A word's lattice has an arc for each piece that matches at a position, single characters and, where the vocabulary lacks a
-character, its bytes. Training words also are arcs over the whole word: with discount D, P(word) = (c - D)/N for the
-direct arc plus D*V/N times the marginal over pieces; the end of a text is a token like any other. The text's score is the
-sum of log10 P over its words and end; the marginal of a text is that of its words, as no piece spans white space.
+A word's lattice has an arc for each piece of an existing vocabulary (a SentencePiece file, its path a parameter) that
+matches at a position, single characters and, where the vocabulary lacks a character, its bytes. A forward recursion in
+log space sums over all paths. The pieces' scores come from the file: it is a BPE file, whose scores are ranks, so they are
+read as Zipf weights of the rank; STEPS expectation-maximisation steps (forward and backward) then fit them to the distinct
+training words, each of which counts once, as a word that is new to the model is met once.
+
+Training words are pieces too, with an arc over the whole word, absolutely discounted: with c its count, N all tokens, V the
+distinct ones and D = n1 / (n1 + 2 n2) (of the numbers of words met once and twice), P(word) = max(c - D, 0) / N for that
+arc plus D V / N times the marginal over the file's pieces. The end of a text is a token like any other. No piece spans
+white space, so the marginal of a text is the product of those of its words and end; the score is its log10.
 
 Corpus counts cover all training rows (crc32(doc_id as text) mod 7 is not 2) and are keyed by word. Each distinct word's
-lattice is run once, whatever its frequency; documents meet words in one join of hashed words, where a document's rows
-are summed before and after. The K most frequent words (a fixed number) travel as a broadcast table instead.
+lattice is run once, whatever its frequency, words of one length together; documents meet words in one join of hashed
+words, where a document's rows are summed before and after. The most frequent words, FREQUENT of them at most, travel as a
+broadcast table instead.
 
-Null and empty texts have the end token only. Repeated rows of a doc_id and text score alike, one row for each.
+Null and empty texts have the end token only. Very long texts and words are scored whole. Repeated rows score alike, one
+row for each; a null doc_id is a training row's. Words of one frequency are treated alike. Extra columns are ignored,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,11 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, lower_ascii, not_fold, stored
+from .common import WORD, fmix64, forget, lower_ascii, not_fold, odd_constants, stored
 
-DISCOUNT, FREQUENT = 0.75, 100_000
-LONG = 64  # longer words are run one by one
-END = 0  # the key of the end token
+STEPS, FREQUENT = 3, 200_000
+KEEP_WORDS = 300_000
+#: Words of up to LONG characters (with their mark) are run together by length, BATCH at a time; longer ones one by one.
+LONG, BATCH = 64, 2000
 
 
 class Pieces:
@@ -41,13 +48,83 @@ class Pieces:
     def __init__(self, path: str, counts: np.ndarray | None = None):
         self.texts, start = vocabulary(path)
         self.longest = max(map(len, self.texts))
+        start = np.exp(start)
         if counts is not None:  # expected counts; every piece keeps a little of its initial weight
-            start = counts + 0.1 * np.exp(start) * len(start)
-        else:
-            start = np.exp(start)
+            start = counts + 0.1 * start / start.sum() * len(start)
         self.log = np.log(start / start.sum())
         self.at = {t: i for i, t in enumerate(self.texts)}
         self.byte = np.array([self.at.get(f"<0x{b:02X}>", -1) for b in range(256)])
+        self.bytes: dict[int, float] = {}
+        self.hashed = _hashed(path)
+
+    def by_bytes(self, c: int) -> float:
+        """The log weight of a character spelled in bytes."""
+        if (got := self.bytes.get(c)) is None:
+            got = self.bytes[c] = float(sum(self.log[p] for p in self.byte[list(chr(c).encode("utf-8", "surrogatepass"))]))
+        return got
+
+    def lattices(self, codes: np.ndarray) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+        """For each end position, the arcs (start, pieces, log weights) of words of one length, a row of code points each;
+        a word without an arc has weight -inf there, piece -1."""
+        rows, n = codes.shape
+        out: list = [[] for _ in range(n + 1)]
+        weights = np.append(self.log, -np.inf)
+        mult = odd_constants(33, self.longest)
+        for i in range(n):
+            h = np.zeros(rows, np.uint64)
+            for size in range(1, min(self.longest, n - i) + 1):
+                h = h + codes[:, i + size - 1] * mult[size - 1]
+                if size in self.hashed:
+                    keys, ids = self.hashed[size]
+                    k = fmix64(h)
+                    at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                    p = np.where(keys[at] == k, ids[at], -1)
+                else:
+                    p = np.full(rows, -1)
+                w = weights[p]
+                if size == 1:  # characters that are no piece are spelled in bytes
+                    for r in np.nonzero(p < 0)[0]:
+                        w[r] = self.by_bytes(int(codes[r, i]))
+                if size == 1 or (p >= 0).any():
+                    out[i + size].append((i, p, w))
+        return out
+
+    def run(self, words: list[str], expect: np.ndarray | None = None) -> np.ndarray:
+        """Log marginals of marked words; with `expect`, the words' expected pieces are added to it."""
+        out = np.empty(len(words))
+        by_size: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            by_size.setdefault(len(w), []).append(k)
+        for size, which in by_size.items():
+            if size > LONG:
+                for k in which:
+                    out[k] = self.log_marginal(words[k]) if expect is None else self.expect(words[k], 1.0, expect)
+                continue
+            for a in range(0, len(which), BATCH):
+                some = which[a : a + BATCH]
+                codes = np.frombuffer("".join([words[k] for k in some]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), size).astype(np.uint64)
+                out[some] = self._run(codes, expect)
+        return out
+
+    def _run(self, codes: np.ndarray, expect: np.ndarray | None) -> np.ndarray:
+        rows, n = codes.shape
+        arcs = self.lattices(codes)
+        alpha = np.full((n + 1, rows), -np.inf)
+        alpha[0] = 0.0
+        for j in range(1, n + 1):
+            v = np.stack([alpha[i] + w for i, _, w in arcs[j]])
+            m = v.max(axis=0)
+            alpha[j] = m + np.log(np.exp(v - m).sum(axis=0))
+        if expect is not None:
+            beta = np.full((n + 1, rows), -np.inf)
+            beta[n] = 0.0
+            for j in range(n, 0, -1):
+                for i, p, w in arcs[j]:
+                    x = beta[j] + w
+                    ok = p >= 0
+                    expect += np.bincount(p[ok], weights=np.exp(alpha[i] + x - alpha[n])[ok], minlength=len(expect))
+                    beta[i] = np.logaddexp(beta[i], x)
+        return alpha[n]
 
     def arcs(self, word: str) -> list[list[tuple[int, int, float]]]:
         """For each end position, the arcs (start, piece, log weight) of a marked word; piece -1 stands for bytes."""
@@ -81,7 +158,8 @@ class Pieces:
     def log_marginal(self, word: str) -> float:
         return self.forward(word)[0][-1]
 
-    def expect(self, word: str, weight: float, into: np.ndarray) -> None:
+    def expect(self, word: str, weight: float, into: np.ndarray) -> float:
+        """Add a word's expected pieces; its log marginal."""
         alpha, arcs = self.forward(word)
         n, total = len(word), alpha[-1]
         beta = [-math.inf] * n + [0.0]
@@ -96,6 +174,7 @@ class Pieces:
                 beta[i] = x if m == -math.inf else (x + math.log1p(exp(m - x)) if x > m else m + math.log1p(exp(x - m)))
                 if p >= 0:
                     into[p] += weight * exp(alpha[i] + x - total)
+        return total
 
 
 @lru_cache(maxsize=2)
@@ -110,20 +189,47 @@ def vocabulary(path: str) -> tuple[list[str], np.ndarray]:
     return texts, -np.log(ranks + 10.0)
 
 
+@lru_cache(maxsize=2)
+def _hashed(path: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each length, the hashes of the pieces' code points, sorted, and the pieces."""
+    by: dict[int, list[int]] = {}
+    texts = vocabulary(path)[0]
+    for i, t in enumerate(texts):
+        by.setdefault(len(t), []).append(i)
+    out = {}
+    for n, ids in by.items():
+        codes = np.array([[ord(c) for c in texts[i]] for i in ids], dtype=np.uint64)
+        h = fmix64((codes * odd_constants(33, n)).sum(axis=1, dtype=np.uint64))
+        order = np.argsort(h)
+        out[n] = h[order], np.array(ids)[order]
+    return out
+
+
 def marked(word: str) -> str:
     return "▁" + word
 
 
-def word_key(words: list[str], keep: dict) -> list[int]:
-    """Signed 64-bit keys of words."""
-    out = []
-    for w in words:
-        k = keep.get(w)
-        if k is None:
-            k = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 5)
-            k = keep[w] = (k - 2**64 if k >= 2**63 else k) or 1
-        out.append(k)
-    return out
+class WordKeys:
+    """Signed 64-bit keys of words (0 is none's), remembered in two generations."""
+
+    def __init__(self):
+        self.seen: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+
+    def __call__(self, words: Iterable[str]) -> list[int]:
+        if len(self.seen) > KEEP_WORDS:
+            self.older, self.seen = self.seen, {}
+        seen, older, out = self.seen, self.older, []
+        for w in words:
+            k = seen.get(w)
+            if k is None:
+                k = older.get(w)
+                if k is None:
+                    k = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 5)
+                    k = (k - 2**64 if k >= 2**63 else k) or 1
+                seen[w] = k
+            out.append(k)
+        return out
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,95 +244,107 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"w": words, "c": [train[x] for x in words]})
 
 
-def _expected(path: str):
+def _expected(path: str, counts: np.ndarray | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(path)
+        pieces = Pieces(path, counts)
         into = np.zeros(len(pieces.texts))
         for pdf in batches:
-            for w, c in zip(pdf["w"], pdf["c"], strict=True):
-                pieces.expect(marked(w), float(min(c, 1 + math.log(c))), into)
+            pieces.run([marked(w) for w in pdf["w"]], into)
         used = np.nonzero(into)[0]
         yield pd.DataFrame({"piece": used, "n": into[used]})
 
     return run
 
 
-def train(docs: DataFrame, path: str) -> tuple[DataFrame, int, int, int]:
-    """word table (key, c, logp: log10 P by the model), and N, V, the end token's count. docs: text, held_out."""
+def train(docs: DataFrame, path: str) -> tuple[DataFrame, int, int, int, float]:
+    """word table (key, c, logp: log10 P by the model), and N, V, the end token's count and D. docs: text, held_out."""
+    spark = docs.sparkSession
     counts = docs.select("text", "held_out").mapInPandas(_word_counts, "w string, c long").groupBy("w").agg(F.sum("c").alias("c"))
     counts = stored(counts, "lattice-words")
     ends = docs.where(~F.col("held_out")).count()
-    total = counts.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    known = counts.where("c > 0")
+    total = known.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
     n, v = (total["n"] or 0) + ends, total["v"] + (ends > 0)
-    expected = counts.where("c > 0").mapInPandas(_expected(path), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()  # the vocabulary's size
-    e = np.zeros(len(vocabulary(path)[0]))
-    e[expected["piece"].to_numpy(dtype=int)] = np.round(expected["n"].to_numpy(dtype=float), 6)
-    shared = docs.sparkSession.sparkContext.broadcast(e)
-    back = DISCOUNT * v / n if n else 1.0
+    discount = total["n1"] / (total["n1"] + 2 * total["n2"]) if total["n1"] and total["n2"] else 0.5
+    e = None
+    for _ in range(STEPS if total["v"] else 0):
+        expected = known.select("w").mapInPandas(_expected(path, e), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()  # the vocabulary's size
+        e = np.zeros(len(vocabulary(path)[0]))
+        e[expected["piece"].to_numpy(dtype=int)] = np.round(expected["n"].to_numpy(dtype=float), 6)
+    back = discount * v / n if n else 1.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = Pieces(path, shared.value)
+        pieces, word_keys = Pieces(path, e), WordKeys()
         for pdf in batches:
-            logp = []
-            for w, c in zip(pdf["w"], pdf["c"], strict=True):
-                p = back * math.exp(max(-700.0, m := pieces.log_marginal(marked(w))))
-                own = (c - DISCOUNT) / n if c else 0.0
-                logp.append(math.log10(own + p) if own or m > -700 else (math.log(back) + m) / math.log(10))
-            yield pd.DataFrame({"key": word_key(pdf["w"].tolist(), {}), "c": pdf["c"], "logp": logp})
+            m = math.log(back) + pieces.run([marked(w) for w in pdf["w"]])
+            c = pdf["c"].to_numpy()
+            with np.errstate(divide="ignore"):
+                own = np.log(np.where(c > 0, np.maximum(c - discount, 0.0), 0.0) / n) if n else np.full(len(c), -np.inf)
+            yield pd.DataFrame({"key": word_keys(pdf["w"]), "c": c, "logp": np.logaddexp(own, m) / math.log(10)})
 
     table = stored(counts.mapInPandas(run, "key long, c long, logp double"), "lattice-table")
-    return table, n, v, ends
+    forget(spark, counts)
+    return table, n, v, ends, discount
+
+
+def most_frequent(table: DataFrame, bound: int | None = None) -> DataFrame:
+    """The words of the table from some frequency on, as many as there are within the bound."""
+    bound = FREQUENT if bound is None else bound
+    step = F.floor(16 * F.log("c"))
+    total, least = 0, None
+    for r in table.where("c > 0").groupBy(step.alias("s")).count().orderBy(F.desc("s")).collect():  # some hundreds
+        total += r["count"]
+        if total > bound:
+            break
+        least = r["s"]
+    return table.where(F.lit(False)) if least is None else table.where((F.col("c") > 0) & (step >= least))
 
 
 def score(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("held_out", ~not_fold("doc_id", 7, 2))
-    table, n, v, ends = train(docs, path)
-    frequent = table.orderBy(F.desc("c"), "key").limit(FREQUENT).toPandas().sort_values("key")
+    table, n, v, ends, discount = train(docs, path)
+    frequent = most_frequent(table).toPandas().sort_values("key")
     shared = spark.sparkContext.broadcast([frequent[x].to_numpy() for x in ("key", "c", "logp")])
     scale = float(n + v + 1)
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A head for each row (key 0), with the sums over its frequent words, and a row for each other word of it."""
         keys, cs, logs = shared.value
         base = np.log10((cs + 1) / scale)
-        keep: dict = {}
+        word_keys = WordKeys()
         for pdf in batches:
             for at in range(0, len(pdf), 200):
                 part = pdf.iloc[at : at + 200]
-                rows: list = [[], [], [], [], [], [], []]
-                for doc, text in zip(part["_key"], part["text"], strict=True):
-                    if len(keep) > 300_000:
-                        keep.clear()
-                    k, m = np.unique(np.array(word_key(WORD.findall(lower_ascii(text)), keep), dtype=np.int64), return_counts=True)
-                    i = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
-                    here = keys[i] == k if len(keys) else np.zeros(len(k), bool)
-                    i, times, far = i[here], m[here], np.nonzero(~here)[0]
-                    head = (doc, 0, int(m.sum()), int(times[cs[i] > 0].sum()), float(times @ base[i]) if len(i) else 0.0, float(times @ logs[i]) if len(i) else 0.0)
-                    rows[0] += [doc] * (len(far) + 1)
-                    rows[1] += [0, *k[far].tolist()]
-                    rows[2] += [head[2], *m[far].tolist()]
-                    for c, x in zip(rows[3:6], head[3:], strict=True):
-                        c += [x, *[0] * len(far)]
-                yield pd.DataFrame(dict(zip(("_key", "key", "m", "known", "base", "lat"), rows, strict=False)))
-
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    heads = keyed.select("doc_id", "held_out", "_key")
-    rows = keyed.select("_key", "text").mapInPandas(split, "_key long, key long, m int, known long, base double, lat double")
-    rows = stored(rows, "lattice-rows")
-    first = rows.where("key = 0").groupBy("_key").agg(F.first("m").alias("m"), F.first("known").alias("known"), F.first("base").alias("base"), F.first("lat").alias("lat"))
-    far = rows.where("key <> 0").select("_key", "key", "m").join(table, "key")
-    # Copies of a text carry equal rows: averages over the copies' rows undo that (each word once per copy).
-    far = far.groupBy("_key").agg(
+                words = [Counter(WORD.findall(lower_ascii(t))) for t in part["text"]]
+                k = np.array([x for w in words for x in word_keys(w)], dtype=np.int64)
+                m = np.array([x for w in words for x in w.values()], dtype=np.int64)
+                owner, size = np.repeat(np.arange(len(words)), [len(w) for w in words]), len(words)
+                i = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
+                here = keys[i] == k if len(keys) else np.zeros(len(k), bool)
+                own, i, times, far = owner[here], i[here], m[here], ~here
+                total = lambda o, w: np.bincount(o, weights=w, minlength=size)
+                row, more = part["_row"].to_numpy(), [None] * int(far.sum())
+                none = np.zeros(len(more))
+                yield pd.DataFrame({
+                    "_row": np.concatenate([row, row[owner[far]]]), "doc_id": pd.array([*part["doc_id"].astype("Int64"), *more], dtype="Int64"),
+                    "held_out": pd.array([*part["held_out"], *more], dtype="boolean"), "key": np.concatenate([np.zeros(size, np.int64), k[far]]),
+                    "m": np.concatenate([total(owner, m).astype(np.int64), m[far]]), "known": np.concatenate([total(own, times * (cs[i] > 0)), none]).astype(np.int64),
+                    "base": np.concatenate([total(own, times * base[i]), none]), "lat": np.concatenate([total(own, times * logs[i]), none]),
+                })
+
+    # Rows are numbered before they are stored, and only read afterwards: a number is a row's own, also of equal rows.
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = stored(numbered.mapInPandas(split, "_row long, doc_id long, held_out boolean, key long, m long, known long, base double, lat double"), "lattice-rows")
+    far = rows.where("key <> 0").select("_row", "key", "m").join(table, "key").groupBy("_row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("m")).otherwise(0)).alias("far_known"),
         F.sum(F.col("m") * F.log10((F.col("c") + 1) / F.lit(scale))).alias("far_base"), F.sum(F.col("m") * F.col("logp")).alias("far_lat"),
     )
-    copies = keyed.groupBy("_key").agg(F.count("*").alias("copies"))
     end_base = math.log10((ends + 1) / scale)
-    end_own = math.log10(max(ends - DISCOUNT, 1e-9) / n) if n else -9.0
-    out = heads.join(first, "_key").join(far, "_key", "left").join(copies, "_key")
-    share = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.col("copies")
-    return out.select(
-        "doc_id", "held_out", (F.col("m") + 1).cast("long").alias("n_tokens"), (F.col("known") + F.round(share("far_known")) + (1 if ends else 0)).cast("long").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + share("far_base") + end_base).alias("base_score"), (F.col("lat") + share("far_lat") + end_own).alias("score"),
+    end_own = math.log10(max(ends - discount, 1e-9) / n) if n else -9.0
+    more = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return rows.where("key = 0").join(far, "_row", "left").select(
+        "doc_id", "held_out", (F.col("m") + 1).alias("n_tokens"), (F.col("known") + more("far_known") + (1 if ends else 0)).cast("long").alias("n_known"),
+        F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + more("far_base") + end_base).alias("base_score"), (F.col("lat") + more("far_lat") + end_own).alias("score"),
     )
