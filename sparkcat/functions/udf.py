@@ -1,123 +1,18 @@
-"""Arrow UDFs for what built-in functions can't express: NFKC titles, episode names, Ratcliff-Obershelp similarity."""
+"""Arrow UDFs for what built-in functions can't express: NFKC titles, episode names, Ratcliff-Obershelp similarity, HTML."""
 
 from __future__ import annotations
 
+import html
 import re
-import unicodedata
-from datetime import date
 from difflib import SequenceMatcher
 
 import pandas as pd
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of traditional script with their simplified forms: the reference's table and some more (fixed values).
-SIMPLIFIED = str.maketrans(
-    "慶餘萬與學國電視劇戰爭愛們說話門開關東長風雲龍馬鳥魚裡點無問聲樂兒個來時會對過還這進遠邊為動華園圓團圖場種稱覺應當雙處聽"
-    "傳連遲醫間聞體髮鬥鳴麗黃齒龜係億優夥傷倫偉側偵傑備價儀兩冊準擊別創劉則剛勳勵勸區協單賣衛衝術裝補製複親觀規覽訂計訓記訪設"
-    "許訴診註詩誕語誠誤誘讀變讓讚貓貝財負貨責貴買費資賽贊贈車軍轉輪輸辦農運達違選遺銀錢鋼錄鐘鐵閃陣陸陳陰陽階隨隱難靈韓順頭題"
-    "顏願飛養館駕驚齊敵數斷舊歷歸殺歲懸戀戲導專尋將島師帶幫廣廠廈彈強後從憶懷總續終結絕經綠線網練維緊績織紅約級納純紙紛細紹統"
-    "絲綜繪繫繼纏纖",
-    "庆余万与学国电视剧战争爱们说话门开关东长风云龙马鸟鱼里点无问声乐儿个来时会对过还这进远边为动华园圆团图场种称觉应当双处听"
-    "传连迟医间闻体发斗鸣丽黄齿龟系亿优伙伤伦伟侧侦杰备价仪两册准击别创刘则刚勋励劝区协单卖卫冲术装补制复亲观规览订计训记访设"
-    "许诉诊注诗诞语诚误诱读变让赞猫贝财负货责贵买费资赛赞赠车军转轮输办农运达违选遗银钱钢录钟铁闪阵陆陈阴阳阶随隐难灵韩顺头题"
-    "颜愿飞养馆驾惊齐敌数断旧历归杀岁悬恋戏导专寻将岛师带帮广厂厦弹强后从忆怀总续终结绝经绿线网练维紧绩织红约级纳纯纸纷细绍统"
-    "丝综绘系继缠纤",
-)
-DIGITS = {c: i for i, c in enumerate("零一二三四五六七八九")} | {"〇": 0, "两": 2}
-UNITS = {"十": 10, "百": 100, "千": 1000}
-ROMAN = {chr(0x2160 + i): str(i + 1) for i in range(12)} | {chr(0x2170 + i): str(i + 1) for i in range(12)}
-NUMBER = "[0-9零〇一二两三四五六七八九十百千]+"
-BRACKETS = dict(zip("（([【〔［{《「", "）)]】〕］}》」", strict=True))
-YEAR = re.compile(r"(?<!\d)((?:19|20)\d{2})(?!\d)")
-SEQ = [re.compile(rf"第({NUMBER})[部季]"), re.compile(r"\bseason\s*(\d{1,2})\b"), re.compile(r"\bs(\d{1,2})\b"), re.compile(r"(?<!\d)(\d{1,2})$")]
-EPISODE_WORDS = re.compile(rf"第{NUMBER}[集期话回]|更新至.*$|全\d+集")
-QUALITY = re.compile(r"(?:1080p|720p|2160p|4k|hd|bd|tc|国语|粤语|中字|超清|高清|蓝光)")
-PUNCTUATION = re.compile(r"[\s\-_·:：,，.。!！?？~～'\"“”/\\|]+")
-
-
-def numeral(text: str) -> int | None:
-    """Digits or Chinese numerals to a number."""
-    if re.fullmatch(r"[0-9]+", text):
-        return int(text)
-    total = digit = 0
-    for c in text:
-        if c in DIGITS:
-            digit = DIGITS[c]
-        elif c in UNITS:
-            total, digit = total + (digit or 1) * UNITS[c], 0
-        else:
-            return None
-    return total + digit
-
-
-def without_brackets(text: str) -> str:
-    """Text outside brackets of any kind, nested ones included; unbalanced ones stay."""
-    out, stack = [""], []
-    for c in text:
-        if c in BRACKETS:
-            stack.append((BRACKETS[c], c))
-            out.append("")
-        elif stack and c == stack[-1][0]:
-            stack.pop()
-            out.pop()
-        else:
-            out[-1] += c
-    while stack:
-        inner = out.pop()
-        out[-1] += stack.pop()[1] + inner
-    return out[0]
-
-
-def title_parts(raw: str | None) -> tuple[str, int, str | None]:
-    """(normal title, sequence number, year) of a catalogue title."""
-    t = "".join(ROMAN.get(c, c) for c in raw or "")
-    t = unicodedata.normalize("NFKC", t).translate(SIMPLIFIED).lower().strip()
-    whole, year = t, None
-    if (m := YEAR.search(t)) and m.group(0) != t:
-        year = m.group(1)
-        t = t[: m.start()] + " " + t[m.end():]
-    t = without_brackets(t).strip()
-    t = QUALITY.sub(" ", EPISODE_WORDS.sub(" ", t)).strip()
-    seq = 1
-    for pattern in SEQ:
-        if (m := pattern.search(t)) and (n := numeral(m.group(1))) and (m.start() or m.end() < len(t)):
-            seq, t = n, t[: m.start()] + t[m.end():]
-            break
-    t = PUNCTUATION.sub("", t)
-    return t or PUNCTUATION.sub("", whole) or whole, seq, year
-
-
-EXTRA = re.compile(r"预告|花絮|彩蛋|番外|特辑|幕后|片花")
-MAIN = re.compile(r"^(?:正片|hd|bd|hd中字|全集|高清|超清|中字|国语|粤语|tc|4k|1080p)+$", re.I)
-
-
-def episode_parts(name: str | None, order: int) -> tuple[str, int, str, str | None, int | None]:
-    """(kind, number, title, air date, last number) of an episode's name; the first rule that fits decides."""
-    s = unicodedata.normalize("NFKC", name or "").strip()
-    if m := re.match(r"^第?((?:19|20|21)\d{2})[-./]?(\d{2})[-./]?(\d{2})(?!\d)[期集]?\s*(.*)$", s):
-        try:
-            day = date(int(m[1]), int(m[2]), int(m[3])).isoformat()
-            note = m[4].strip()
-            return ("air_date_extra" if note else "air_date"), int(m[1] + m[2] + m[3]), f"{day} {note}".strip(), day, None
-        except ValueError:
-            pass
-    if m := re.match(rf"^第({NUMBER})[-~至]({NUMBER})([集期话回])$", s):
-        a, b = numeral(m[1]), numeral(m[2])
-        return "episode", a, f"第{a}-{b}{m[3]}", None, b
-    if m := re.match(rf"^第({NUMBER})([集期话回])(.*)$", s):
-        n, note = numeral(m[1]), m[3].strip()
-        return ("extra", 0, s, None, None) if EXTRA.search(note) else ("episode", n, f"第{n}{m[2]}" + (f" {note}" if note else ""), None, None)
-    if EXTRA.search(s):
-        return "extra", 0, s, None, None
-    if m := re.match(r"^ep?\.?\s*(\d{1,4})$", s, re.I):
-        return ("episode", int(m[1]), f"第{int(m[1])}集", None, None) if int(m[1]) else ("extra", 0, s, None, None)
-    if m := re.match(rf"^({NUMBER})集?$", s):
-        n = numeral(m[1])
-        return "episode", n, f"第{n}集", None, None
-    if MAIN.match(s):
-        return "episode", 1, "正片", None, None
-    return "unknown", order, s, None, None
+from .episodes import episode, episode_parts  # noqa: F401
+from .titles import extract_seq, numeral, title, title_parts, without_brackets  # noqa: F401
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
@@ -126,20 +21,52 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 
 TEXT, INT = T.StringType(), T.IntegerType()
+TITLE = dict(norm_title=TEXT, seq=INT, year=TEXT)
 
 
-@F.pandas_udf(_struct(norm_title=TEXT, seq=INT, year=TEXT))
+@F.pandas_udf(_struct(**TITLE))
 def parse_title(raw: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([title_parts(x) for x in raw], columns=["norm_title", "seq", "year"])
+    return pd.DataFrame([title_parts(x) for x in raw], columns=list(TITLE))
 
 
-@F.pandas_udf(_struct(kind=TEXT, ep_number=INT, ep_title=TEXT, air_date=TEXT, ep_end=INT))
+@F.pandas_udf(_struct(**TITLE, quality_tags=T.ArrayType(TEXT), merge_key=TEXT, merge_group=TEXT))
+def parse_title_fully(raw: pd.Series, category: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([title(x, c) for x, c in zip(raw, category, strict=True)], columns=[*TITLE, "quality_tags", "merge_key", "merge_group"])
+
+
+@F.pandas_udf(_struct(kind=TEXT, ep_number=INT, ep_title=TEXT, air_date=TEXT, ep_end=INT, note=TEXT))
 def parse_episode(name: pd.Series, order: pd.Series) -> pd.DataFrame:
-    rows = [episode_parts(x, int(i)) for x, i in zip(name, order, strict=True)]
-    return pd.DataFrame(rows, columns=["kind", "ep_number", "ep_title", "air_date", "ep_end"]).astype({"ep_end": "Int32", "ep_number": "int32"})
+    rows = [episode(x, int(i)) for x, i in zip(name, order, strict=True)]
+    return pd.DataFrame(rows, columns=["kind", "ep_number", "ep_title", "air_date", "ep_end", "note"]).astype({"ep_end": "Int32", "ep_number": "int32"})
+
+
+@F.pandas_udf(INT)
+def parse_seq(text: pd.Series) -> pd.Series:
+    """The sequence number that a text states, else null."""
+    return pd.Series([extract_seq(x) for x in text], dtype="Int32")
+
+
+def similarity(a: str | None, b: str | None) -> float:
+    return SequenceMatcher(None, a, b).ratio() if a and b else 0.0
 
 
 @F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity, 0 to 1."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+BREAKS = re.compile(r"<[^>]*>")
+UNSEEN = re.compile("[\u00a0\u200b-\u200f\u2028-\u202f\ufeff]")
+
+
+@F.pandas_udf(TEXT)
+def html_text(s: pd.Series) -> pd.Series:
+    """Every character reference decoded, tags and unseen spaces to spaces, white space collapsed."""
+    return pd.Series([" ".join(UNSEEN.sub(" ", BREAKS.sub(" ", html.unescape(x or ""))).split()) for x in s])
+
+
+def register(spark: SparkSession) -> None:
+    """The UDFs by name, for SQL texts."""
+    for name, f in (("parse_title", parse_title), ("parse_title_fully", parse_title_fully), ("parse_episode", parse_episode), ("parse_seq", parse_seq), ("ratio", ratio), ("html_text", html_text)):
+        spark.udf.register(name, f)

@@ -37,12 +37,12 @@ def first_non_missing(cols: Sequence[str], order: str, missing: dict[str, Column
 def upsert(state: DataFrame, batch: DataFrame, key: str, payload: Sequence[str], scraped: str = "scraped", hot: Column | None = None) -> DataFrame:
     """Merge a batch into keyed state. branch: insert (new key), refresh (not yet processed), requeue (processed, hot:
     back to pending), touch (processed, cold: only times), keep (not in the batch)."""
-    s, b = state.alias("s"), batch.alias("b")
+    s, b = state.withColumn("_in_state", F.lit(True)).alias("s"), batch.alias("b")
     joined = s.join(b, key, "full_outer")
-    s_has, b_has = F.col(f"s.{scraped}").isNotNull(), F.col("b._in_batch").isNotNull()
+    s_has, b_has = F.col("s._in_state").isNotNull(), F.col("b._in_batch").isNotNull()
     hot = F.coalesce(hot if hot is not None else F.lit(False), F.lit(False))
     branch = (
-        F.when(~s_has, "insert").when(~b_has, "keep").when(F.col(f"s.{scraped}") == 0, "refresh").when(hot, "requeue").otherwise("touch")
+        F.when(~s_has, "insert").when(~b_has, "keep").when(F.coalesce(F.col(f"s.{scraped}"), F.lit(0)) == 0, "refresh").when(hot, "requeue").otherwise("touch")
     )
     take = branch.isin("insert", "refresh", "requeue")
     merged = [F.when(take, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in payload]

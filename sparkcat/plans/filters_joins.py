@@ -15,7 +15,7 @@ WORDS = ["worthless", "disgusting", "idiot", "%%%", "!!"]
 def _chain():
     return R.reason_chain(
         (~F.col("lang").isin("en", "fr", "de"), F.concat(F.lit("L1|lang:"), F.col("lang"))), (F.col("source").isin("src3", "src7"), "L2|source"),
-        (R.first_word(F.col("text"), WORDS).isNotNull(), F.concat(F.lit("L3|"), R.first_word(F.col("text"), WORDS))),
+        *[(F.contains("text", F.lit(w)), f"L3|{w}") for w in sorted(WORDS, key=lambda w: (-len(w), w))],
         (F.col("text").rlike("[0-9]{3}-[0-9]{4}"), "L4|number"), (F.col("n_chars") < 50, "L5|short"),
     )
 
@@ -49,8 +49,8 @@ def rule_table(spark, d):
  select event_id, t is null as lenient from e where t is null or t >= (select max(t) from e) - interval 24 hour""")
 def time_window(spark, d):
     e = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 97 != 0, F.col("ts")).alias("t"))
-    latest = e.agg(F.max("t").alias("m"))
-    return e.join(F.broadcast(latest), F.col("t").isNull() | (F.col("t") >= F.col("m") - F.expr("interval 24 hours"))).select("event_id", F.col("t").isNull().alias("lenient"))
+    latest = F.lit(e.agg(F.max("t")).first()[0]).cast("timestamp_ntz")
+    return e.where(F.col("t").isNull() | (F.col("t") >= latest - F.expr("interval 24 hours"))).select("event_id", F.col("t").isNull().alias("lenient"))
 
 
 _DOMAIN = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1))"
@@ -73,8 +73,8 @@ def url_probeable(spark, d):
 def liveness(spark, d):
     p = table(spark, d, "pages").select("page_id", T.domain(F.col("url")).alias("domain"))
     registry = p.select("domain").distinct().withColumn("alive", ~F.col("domain").endswith(".net"))
-    n = p.agg(F.countDistinct("domain").alias("n_domains"))
-    return p.join(registry.where("alive"), "domain", "left_semi").join(F.broadcast(n)).select("page_id", "domain", "n_domains")
+    n = registry.count()
+    return p.join(registry.where("alive"), "domain", "left_semi").select("page_id", "domain", F.lit(n).alias("n_domains"))
 
 
 @query("q_gate_reason", """select d.doc_id, case when source in ('src1','src2') then 'no_cover' when n_chars < 30 then 'no_overview'
@@ -289,6 +289,7 @@ def set_difference(spark, d):
  select c_custkey, arg_min(s_suppkey, (-score, pos)) as best, max(score)::bigint as score from y group by 1""")
 def candidate_score(spark, d):
     c, s = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("c_nationkey"))
-    x = M.top_per_key(c.join(s, "c_nationkey"), ["c_custkey"], ["s_suppkey"], 5, "pos")
+    # The first five suppliers don't depend on the customer: cut them per nation, then join.
+    x = c.join(M.top_per_key(s, ["c_nationkey"], ["s_suppkey"], 5, "pos"), "c_nationkey")
     score = F.round(100 * (1 - F.levenshtein(F.lower("c_name"), F.lower("s_name")) / F.greatest(F.length("c_name"), F.length("s_name")))).cast("long")
     return x.withColumn("score", score).groupBy("c_custkey").agg(F.min_by("s_suppkey", F.struct(-F.col("score"), "pos")).alias("best"), F.max("score").alias("score"))

@@ -150,7 +150,7 @@ def token_bucket(spark, d):
 @query("q_budget_prefix", "select o_orderkey, sum(o_totalprice::decimal(18,2)) over (partition by o_orderpriority order by o_orderdate, o_orderkey rows unbounded preceding) <= 5000000 as admitted from orders")
 def budget(spark, d):
     cost = F.col("o_totalprice").cast("decimal(18,2)")
-    return A.budget_prefix(table(spark, d, "orders"), cost, ["o_orderdate", "o_orderkey"], 5_000_000, ["o_orderpriority"]).select("o_orderkey", "admitted")
+    return A.budget_prefix(table(spark, d, "orders"), cost, ["o_orderdate", "o_orderkey"], 5_000_000, ["o_orderpriority"], F.date_trunc("month", "o_orderdate")).select("o_orderkey", "admitted")
 
 
 @query("q_breaker", "select event_id, n_calls >= 5 and n_failed > 0.25 * n_calls as open from (select event_id, count(*) over w n_calls, count(*) filter (where event_type = 'error') over w n_failed from events window w as (partition by user_id order by event_id rows between 199 preceding and current row))")
@@ -178,7 +178,7 @@ def retry_page(spark, d):
 @query("q_recheck_list", "with k as (select user_id, max(case when event_type = 'purchase' then ts end) as last_check from events group by 1) select user_id, last_check is null as never from k where last_check is null or last_check <= timestamp '2024-01-28'")
 def recheck(spark, d):
     k = table(spark, d, "events").groupBy("user_id").agg(F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("t"))
-    return k.where("t is null or t <= timestamp_ntz '2024-01-28'").orderBy(F.asc_nulls_first("t")).select("user_id", F.col("t").isNull().alias("never"))
+    return k.where("t is null or t <= timestamp_ntz '2024-01-28'").select("user_id", F.col("t").isNull().alias("never"))
 
 
 @query("q_topk_slice", "select l_orderkey, l_partkey, l_linenumber, rank from (select l_orderkey, l_partkey, l_linenumber, row_number() over (partition by l_partkey order by l_extendedprice desc, l_orderkey, l_linenumber, l_suppkey, l_quantity) as rank from lineitem) where rank <= 5")
@@ -191,8 +191,8 @@ def topk(spark, d):
 def two_lanes(spark, d):
     hot = F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz")
     lane = F.when(hot, "hot").otherwise("cold")
-    rank = F.row_number().over(Window.partitionBy("lane", "o_orderpriority").orderBy("o_orderdate", "o_orderkey")).cast("long")
-    return table(spark, d, "orders").withColumn("lane", lane).select("o_orderkey", "lane", F.when(hot, "AB").otherwise("A").alias("tier"), rank.alias("rank"))
+    ranked = A.running_total(table(spark, d, "orders").withColumn("lane", lane), F.lit(1), ["o_orderdate", "o_orderkey"], F.date_trunc("month", "o_orderdate"), ["lane", "o_orderpriority"], "rank")
+    return ranked.select("o_orderkey", "lane", F.when(hot, "AB").otherwise("A").alias("tier"), "rank")
 
 
 @query("q_ttl_expiry", "select o_orderkey, o_orderdate + case when o_orderstatus = 'F' then interval 90 day when o_orderstatus = 'P' then interval 14 day when year(o_orderdate) <= 1998 then interval 90 day else interval 45 day end as expires from orders")

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import udf as U
 from ..operators import merge as M
+from ..session import shared_folder
 from ..sources import sinks
 from ..streaming import ops as S
 from .catalog import query, table
@@ -46,7 +45,7 @@ def episode_golden(spark, d):
 @query("q_candidate_score_ratio")
 def candidate_ratio(spark, d):
     c, s = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("c_nationkey"))
-    x = M.top_per_key(c.join(s, "c_nationkey"), ["c_custkey"], ["s_suppkey"], 5, "pos")
+    x = c.join(M.top_per_key(s, ["c_nationkey"], ["s_suppkey"], 5, "pos"), "c_nationkey")
     scored = x.withColumn("score", F.bround(100 * U.ratio(F.lower("c_name"), F.lower("s_name")), 0))
     return scored.groupBy("c_custkey").agg(F.min_by("s_suppkey", F.struct(-F.col("score"), "pos")).alias("best"), F.max("score").alias("score"))
 
@@ -119,18 +118,17 @@ def _events(spark, d):
     return S.read_stream(spark, d, table(spark, d, "events"), "events.parquet")
 
 
-def _shared(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        import uuid
-
-        return f"{base.rstrip('/')}/sparkcat/stream-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="sparkcat-stream-")
+def _staged(spark, events, parts) -> str:
+    """Events in files of their own, one for each condition, in the order in which a stream reads them."""
+    folder = shared_folder(spark, "stream-files")
+    for where in parts:
+        events.where(where).coalesce(1).write.mode("append").parquet(folder)
+    return folder
 
 
 @query("q_stream_window", "select date_trunc('day', ts)::timestamp as start, count(*) as n from events group by 1")
 def stream_window(spark, d):
-    base = _shared(spark)
+    base = shared_folder(spark, "stream")
     keep = S.versioned_upsert(spark, f"{base}/t", "start", "n")
     S.run_available(S.window_counts(_events(spark, d), "ts", "1 day", "2 days"), keep, f"{base}/c", "update")
     return _latest(spark, f"{base}/t").select(F.col("start").cast("timestamp_ntz").alias("start"), "n")
@@ -138,25 +136,41 @@ def stream_window(spark, d):
 
 @query("q_stream_upsert", "select user_id, arg_max(event_type, event_id) as event_type, max(event_id) as event_id from events group by 1")
 def stream_upsert(spark, d):
-    base = _shared(spark)
-    S.run_available(_events(spark, d).select("user_id", "event_id", "event_type"), S.versioned_upsert(spark, f"{base}/t", "user_id", "event_id"), f"{base}/c")
+    """Files come newest first, so that later batches hold older rows."""
+    base, e = shared_folder(spark, "stream"), table(spark, d, "events").select("user_id", "event_id", "event_type")
+    folder = _staged(spark, e, [f"event_id % 4 = {i}" for i in (3, 1, 2, 0)])
+    S.run_available(S.read_stream(spark, folder, e, files_per_trigger=1), S.versioned_upsert(spark, f"{base}/t", "user_id", "event_id"), f"{base}/c")
     return _latest(spark, f"{base}/t")
 
 
 @query("q_stream_domain_state", "with a as (select event_id, user_id, (event_type not in ('error','click'))::int as ok from events), b as (select user_id, coalesce(max(event_id) filter (where ok = 1), -1) as last_ok from a group by 1), c as (select a.user_id, count(*) filter (where event_id > last_ok) as run from a join b using (user_id) group by 1) select user_id as key, run, case when run = 0 then 'alive' when run >= 4 then 'dead' else 'unknown' end as state from c")
 def stream_state(spark, d):
-    base = _shared(spark)
-    states = S.liveness_states(_events(spark, d), "user_id", "event_id", "event_type not in ('error','click')")
-    S.run_available(states, S.versioned_upsert(spark, f"{base}/t", "key", "run"), f"{base}/c", "update")
-    return _latest(spark, f"{base}/t")
+    base = shared_folder(spark, "stream")
+    e = table(spark, d, "events")
+    cut = [r[0] for r in e.agg(F.expr("percentile_approx(event_id, array(0.3, 0.6))").alias("q")).select(F.explode("q")).collect()]
+    folder = _staged(spark, e, [f"event_id <= {cut[0]}", f"event_id > {cut[0]} and event_id <= {cut[1]}", f"event_id > {cut[1]}"])
+    states = S.liveness_states(S.read_stream(spark, folder, e, files_per_trigger=1), "user_id", "event_id", "event_type not in ('error','click')")
+    S.run_available(states, S.versioned_upsert(spark, f"{base}/t", "key", "last"), f"{base}/c", "update")
+    return _latest(spark, f"{base}/t").drop("last")
+
+
+_DEDUPE_DAY = "date_diff('day', timestamp '2024-01-01', ts)"
 
 
-@query("q_stream_dedupe")
+@query("q_stream_dedupe", f"""with e as (select *, {_DEDUPE_DAY} as day from events where {_DEDUPE_DAY} in (0, 1, 2, 11, 12, 15, 16, 17))
+ select distinct user_id, event_type, case when day in (11, 12) then 'between' when day < 11 then 'before' else 'after' end as part, case when day in (11, 12) then event_id else 0 end as id from e""")
 def stream_dedupe(spark, d):
-    base = _shared(spark)
-    unique = S.dedupe(_events(spark, d), "ts", ["user_id", "event_type"], "1 day")
+    """One row per user and type within three days of the first; a file a day, and two days of rows that repeat nothing, by
+    whose end the first days' keys are forgotten."""
+    base = shared_folder(spark, "stream")
+    day = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - 1_704_067_200) / 86_400).alias("day")
+    e = table(spark, d, "events").select("ts", "user_id", "event_type", "event_id", day)
+    between = F.col("day").isin(11, 12)
+    e = e.select("ts", "user_id", "event_type", "day", F.when(between, "between").when(F.col("day") < 11, "before").otherwise("after").alias("part"), F.when(between, F.col("event_id")).otherwise(F.lit(0)).alias("id"))
+    folder = _staged(spark, e, [f"day = {k}" for k in (0, 1, 2, 11, 12, 15, 16, 17)])
+    unique = S.dedupe(S.read_stream(spark, folder, e, files_per_trigger=1), "ts", ["user_id", "event_type", "id"], "3 days")
     S.run_available(unique, lambda b, n: b.write.mode("overwrite").parquet(f"{base}/t/v{n}"), f"{base}/c")
-    return spark.read.parquet(f"{base}/t/*").select("user_id", "event_type", "event_id")
+    return spark.read.parquet(f"{base}/t/*").select("user_id", "event_type", "part", "id")
 
 
 def _latest(spark, folder: str):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +24,14 @@ def build(master: str = "local[*]", shuffle_partitions: int = 8, driver_memory:
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors share, below spark.checkpoint.dir; on one machine, as in tests, a
+    temporary one serves where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="sparkcat-")
+    return f"{base.rstrip('/')}/sparkcat/{name}-{uuid.uuid4().hex}"

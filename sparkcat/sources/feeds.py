@@ -22,7 +22,8 @@ class PagePartition(InputPartition):
 class PagedFeed(DataSource):
     """Pages of a site's feed, one partition each: <path>/<site>/<page>.json, or mirrors of it tried in order.
 
-    Options: path, site, pages (how many; else the folder's), mirrors (comma-separated other paths).
+    Options: path, site, pages (how many; else the folder's), start (the first page to read), mirrors (comma-separated other
+    paths).
     """
 
     @classmethod
@@ -41,12 +42,13 @@ class PagedReader(DataSourceReader):
         self.site = options["site"]
         self.roots = [options["path"], *filter(None, options.get("mirrors", "").split(","))]
         self.pages = int(options["pages"]) if "pages" in options else None
+        self.start = int(options.get("start", 1))
 
     def partitions(self) -> list[InputPartition]:
         n = self.pages
         if n is None:
             n = len([f for f in os.listdir(f"{self.roots[0]}/{self.site}") if f.endswith(".json")])
-        return [PagePartition(i + 1) for i in range(n)]
+        return [PagePartition(i) for i in range(self.start, n + 1)]
 
     def read(self, partition: PagePartition) -> Iterator[tuple]:
         for root in self.roots:  # ordered mirrors: the first that answers counts
@@ -70,6 +72,7 @@ def read_feed(spark: SparkSession, path: str, site: str, **options: str) -> Data
 def raw_items(feed: DataFrame, category: Column) -> DataFrame:
     """Feed rows as catalogue items: rows without a title or without a playable line are dropped."""
     from ..functions import text as T
+    from . import providers
 
     out = feed.withColumn("lines", T.play_lines(F.col("vod_play_url"), F.col("vod_play_from")))
     return out.where(T.present("vod_name").isNotNull() & (F.size("lines") > 0)).select(

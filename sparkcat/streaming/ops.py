@@ -25,18 +25,23 @@ def dedupe(events: DataFrame, ts: str, keys: list[str], horizon: str) -> DataFra
 
 
 def liveness_states(events: DataFrame, key: str, order: str, ok: str, dead: int = 4) -> DataFrame:
-    """Per key: the run of failures so far and its state. Rows of a trigger are folded in order of `order`."""
+    """Per key: the run of failures so far, its state, and the order of its last row.
+
+    A trigger's rows of a key are folded in order of `order`, however many frames they come in; rows that are older than
+    the last one folded in an earlier trigger are late and left out.
+    """
 
     def fold(k: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        run = state.get[0] if state.exists else 0
-        for pdf in frames:
-            for good in pdf.sort_values("_order")["_ok"]:
-                run = 0 if good else run + 1
-        state.update((run,))
-        yield pd.DataFrame({"key": [k[0]], "run": [run], "state": ["alive" if run == 0 else "dead" if run >= dead else "unknown"]})
+        run, last = state.get if state.exists else (0, None)
+        rows = pd.concat(list(frames)).sort_values("_order", kind="stable")
+        for at, good in zip(rows["_order"], rows["_ok"], strict=True):
+            if last is None or at >= last:
+                run, last = 0 if good else run + 1, int(at)
+        state.update((run, last))
+        yield pd.DataFrame({"key": [k[0]], "run": [run], "state": ["alive" if run == 0 else "dead" if run >= dead else "unknown"], "last": [last]})
 
     rows = events.select(F.col(key).cast("long").alias("key"), F.col(order).cast("long").alias("_order"), F.expr(ok).alias("_ok"))
-    return rows.groupBy("key").applyInPandasWithState(fold, "key long, run long, state string", "run long", "update", "NoTimeout")
+    return rows.groupBy("key").applyInPandasWithState(fold, "key long, run long, state string, last long", "run long, last long", "update", "NoTimeout")
 
 
 def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
@@ -45,15 +50,20 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     q.awaitTermination()
 
 
-def versioned_upsert(spark: SparkSession, folder: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch writer: batch n leaves version n of the table, made of version n-1 and the batch's latest rows.
-    Running a batch again writes the same version again."""
+def versioned_upsert(spark: SparkSession, folder: str, key: str, order: str, keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer: batch n leaves version n of the table, made of the latest rows per key, by `order`, of version
+    n-1 and the batch together; of equals the batch's counts. A batch that is run again writes the same version again. The
+    last `keep` versions stay (the one before is needed to run a batch again)."""
 
     def write(batch: DataFrame, n: int) -> None:
-        latest = batch.groupBy(key).agg(F.max_by(F.struct(*[c for c in batch.columns if c != key]), order).alias("r")).select(key, "r.*")
+        rows = batch.withColumn("_new", F.lit(1))
         if n:
-            old = spark.read.parquet(f"{folder}/v{n - 1}")
-            latest = old.join(latest, key, "left_anti").unionByName(latest)
+            rows = rows.unionByName(spark.read.parquet(f"{folder}/v{n - 1}").withColumn("_new", F.lit(0)))
+        cols = [c for c in batch.columns if c != key]
+        latest = rows.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(order, "_new")).alias("r")).select(key, "r.*")
         latest.write.mode("overwrite").parquet(f"{folder}/v{n}")
+        if n >= keep:
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v{n - keep}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     return write
