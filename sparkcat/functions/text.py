@@ -44,7 +44,17 @@ def parse_time(c: Column) -> Column:
     """Several text formats, or epoch seconds or milliseconds; null where none fits."""
     n = F.try_to_number(c, F.lit("9999999999999")).cast("long")
     number = F.when(c.rlike("^[0-9]{13}$"), F.timestamp_millis(n)).when(c.rlike("^[0-9]{9,10}$"), F.timestamp_seconds(n))
-    return F.coalesce(number, *[F.try_to_timestamp(c, F.lit(f)) for f in TIME_FORMATS])
+    iso = F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}"), c.try_cast("timestamp"))
+    return F.coalesce(number, *[F.try_to_timestamp(c, F.lit(f)) for f in TIME_FORMATS], iso)
+
+
+def epoch_of(c: Column) -> Column:
+    """A time as epoch seconds: text in several formats, or a number above 10,000,000; 0 where neither fits."""
+    text = F.trim(F.coalesce(c.cast("string"), F.lit("")))
+    formats = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd"]
+    times = [F.unix_timestamp(F.try_to_timestamp(F.left(text, F.lit(19)), F.lit(f))) for f in formats]
+    number = text.try_cast("double").try_cast("bigint")
+    return F.coalesce(*times, F.when(number > 10_000_000, number), F.lit(0)).cast("long")
 
 
 def year_of(title: Column) -> Column:

@@ -57,13 +57,13 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 BREAKS = re.compile(r"<[^>]*>")
-UNSEEN = re.compile("[\u00a0\u200b-\u200f\u2028-\u202f\ufeff]")
+UNSEEN = re.compile("[\u200b-\u200f\ufeff]")
 
 
 @F.pandas_udf(TEXT)
 def html_text(s: pd.Series) -> pd.Series:
-    """Every character reference decoded, tags and unseen spaces to spaces, white space collapsed."""
-    return pd.Series([" ".join(UNSEEN.sub(" ", BREAKS.sub(" ", html.unescape(x or ""))).split()) for x in s])
+    """Every character reference decoded, then tags to spaces, characters without width taken out, white space collapsed."""
+    return pd.Series([" ".join(UNSEEN.sub("", BREAKS.sub(" ", html.unescape(x or ""))).split()) for x in s])
 
 
 def register(spark: SparkSession) -> None:

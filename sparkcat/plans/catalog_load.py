@@ -1,3 +1,3 @@
 """Imports all query modules, so that their queries are registered."""
 
-from . import filters_joins, groups_windows, texts_streams  # noqa: F401
+from . import catalogue, filters_joins, groups_windows, texts_streams  # noqa: F401

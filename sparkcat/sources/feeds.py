@@ -79,6 +79,7 @@ def raw_items(feed: DataFrame, category: Column) -> DataFrame:
         F.col("vod_id").alias("raw_id"), "site", T.present("vod_name").alias("raw_title"), category.alias("category"), F.col("type_name").alias("sub_category"),
         T.year_of(F.coalesce("vod_year", F.lit(""))).alias("year"), F.col("vod_pic").alias("poster"), T.html_plain(F.col("vod_content")).alias("overview"),
         F.col("vod_douban_id").alias("douban_id"), F.col("vod_douban_score").try_cast("double").alias("douban_score"), T.parse_time(F.col("vod_time")).alias("update_time"), "lines",
+        *[T.html_plain(F.col(f"vod_{c}")).alias(c) for c in ("actor", "director", "remarks")], providers.episode_count(F.concat_ws(" ", "vod_remarks", "vod_name")).alias("episode"),
     )
 
 
