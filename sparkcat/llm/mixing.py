@@ -4,13 +4,15 @@ Tokens (words) are summed per cell (source, language, topic); cells are raked un
 marginals meet the targets. A document is kept with its cell's probability, by a number drawn from a hash of its doc_id:
 the same document gets the same draw in every run and on every partitioning.
 
-Every source and language keeps its name, however many there are; topics are the five of topic_of(). The cells that have
-tokens are raked on the driver: its memory and time grow with their number, not with that of documents. Every document
-belongs to a cell.
+Every source and language keeps its name, however many there are; topics are the five of topic_of(), told by a text's
+surface, as no table names any. Up to CELLS cells with tokens are raked on the driver (their number is counted first);
+more are raked as a table, a sum and a join per marginal and round. Every document belongs to a cell.
 
 Targets, where none are given, are the marginals' token shares to the power ALPHA (a temperature that lifts small ones).
-Null sources and languages are the value ''; null and empty texts have no tokens and take their cell's probability.
-Documents with a null doc_id draw the number of an empty id. Repeated rows share one draw. Empty tables give none.
+Null sources and languages are the value ''; null and empty texts have no tokens and take their cell's probability, or that
+of all tokens where the cell has none; very long texts count whole. Documents with a null doc_id draw the number of an empty
+id. Repeated rows share one draw; a draw equal to the probability is left out. Empty tables give none. The columns topic,
+n_tokens, keep_prob and sampled are added, in place of such columns if there are any; all others stay as they are.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GAP_SQL
+from .common import GAP_SQL, forget, stored
 
 ALPHA, SHARE, ROUNDS, CLOSE = 0.7, 0.9, 200, 1e-9
-#: Up to so many cells (some megabytes) their probabilities are broadcast; more are joined as Spark sees fit.
-BROADCAST = 100_000
+#: Up to so many cells are raked on the driver, and their probabilities broadcast (some megabytes); more are joined.
+CELLS = 100_000
+OWN = ("topic", "n_tokens", "keep_prob", "sampled")
 AXES = ("_source", "_lang", "_topic")
 
 
@@ -84,14 +87,52 @@ def probabilities(cells: Mapping[tuple, float], weights: Mapping[tuple, float],
     return {k: min(1.0, hi * weights.get(k, 0.0) / have[k]) for k in have}
 
 
-def with_cells(docs: DataFrame) -> tuple[DataFrame, dict[tuple, float]]:
-    """docs with its cell and tokens, and the cells' tokens."""
-    base = docs.withColumns({
-        "_source": F.coalesce("source", F.lit("")), "_lang": F.coalesce("lang", F.lit("")), "_topic": topic_of(F.col("text")), "_tokens": n_words(F.col("text")),
-    })
+def with_cells(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whole as _row beside their cell, tokens and draw; and the cells' tokens t, as a table."""
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in OWN]).alias("_row"), *[
+        c.alias(n) for n, c in (("_source", F.coalesce("source", F.lit(""))), ("_lang", F.coalesce("lang", F.lit(""))), ("_topic", topic_of(F.col("text"))), ("_tokens", n_words(F.col("text"))),
+                                ("_draw", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("mix")), F.lit(2**53)) / float(2**53)))
+    ])
     # One pass over the texts.
-    sums = base.groupBy(*AXES).agg(F.sum("_tokens").alias("t")).where("t > 0")
-    return base, {tuple(r[a] for a in AXES): r["t"] for r in sums.toLocalIterator()}
+    return base, stored(base.groupBy(*AXES).agg(F.sum("_tokens").alias("t")).where("t > 0"), "cells")
+
+
+def raked_table(cells: DataFrame, targets: list[Mapping] | None = None, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
+    """As rake() and probabilities() on any number of cells: _source, _lang, _topic, p."""
+    spark = cells.sparkSession
+    total = cells.agg(F.sum("t")).first()[0]
+    goals = []
+    for i, a in enumerate(AXES):
+        sums = cells.groupBy(a).agg(F.sum("t").alias("s"))
+        if targets is None:
+            goal = sums.select(a, F.pow(F.col("s").cast("double"), ALPHA).alias("g"))
+        else:
+            named = spark.createDataFrame([(k, float(v)) for k, v in targets[i].items()], f"{a} string, g double")
+            goal = sums.select(a).join(named, a, "left").fillna(0.0, ["g"])
+        goal = stored(goal, "goal")
+        whole = goal.agg(F.sum("g")).first()[0]
+        goals.append(goal.withColumn("g", F.col("g") / whole) if whole else None)
+    w = stored(cells.withColumn("w", F.col("t") / float(total)), "weights")
+    for _ in range(rounds):
+        worst, before = 0.0, w
+        for a, goal in zip(AXES, goals, strict=True):
+            if goal is None:
+                continue
+            sums = w.groupBy(a).agg(F.sum("w").alias("s")).join(goal, a)
+            sums = stored(sums, "sums")
+            worst = max(worst, sums.agg(F.max(F.abs(F.col("s") - F.col("g")))).first()[0])
+            w = w.join(sums, a).withColumn("w", F.when(F.col("s") > 0, F.col("w") * F.col("g") / F.col("s")).otherwise(0.0)).select(*AXES, "t", "w")
+        w = stored(w, "weights")
+        forget(spark, before)
+        if worst < CLOSE:
+            break
+    lo, hi = 0.0, w.where("w > 0").agg(F.max(F.col("t") / F.col("w"))).first()[0] or 0.0
+    for _ in range(8):  # the scale, 32 times closer with each pass
+        steps = [lo + (hi - lo) * k / 32 for k in range(1, 33)]
+        got = w.agg(*[F.sum(F.least(F.col("t").cast("double"), F.col("w") * x)).alias(f"s{k}") for k, x in enumerate(steps)]).first()
+        at = next((k for k, x in enumerate(got) if x > share * total), 31)
+        lo, hi = (steps[at - 1] if at else lo), steps[at]
+    return w.select(*AXES, F.least(F.lit(1.0), hi * F.col("w") / F.col("t")).alias("p"))
 
 
 def temperature_targets(cells: Mapping[tuple, float], alpha: float = ALPHA) -> list[dict]:
@@ -107,11 +148,11 @@ def temperature_targets(cells: Mapping[tuple, float], alpha: float = ALPHA) -> l
 def mixed(docs: DataFrame, targets: list[Mapping] | None = None, share: float = SHARE) -> DataFrame:
     """docs with topic, n_tokens, keep_prob and sampled."""
     base, cells = with_cells(docs)
-    weights = rake(cells, targets or temperature_targets(cells))
-    p = probabilities(cells, weights, share)
-    table = docs.sparkSession.createDataFrame([(*k, v) for k, v in sorted(p.items())], "_s string, _l string, _t string, _p double")
-    table = F.broadcast(table) if len(p) <= BROADCAST else table
-    base = base.join(table, (F.col("_source") == F.col("_s")) & (F.col("_lang") == F.col("_l")) & (F.col("_topic") == F.col("_t")), "left")
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("mix")), F.lit(2**53)) / float(2**53)
-    out = base.withColumn("keep_prob", F.coalesce("_p", F.lit(share))).withColumn("sampled", draw < F.col("keep_prob"))
-    return out.withColumnsRenamed({"_topic": "topic", "_tokens": "n_tokens"}).drop("_source", "_lang", "_s", "_l", "_t", "_p")
+    if cells.count() <= CELLS:
+        have = {tuple(r[a] for a in AXES): r["t"] for r in cells.collect()}
+        p = probabilities(have, rake(have, targets or temperature_targets(have)), share)
+        table = F.broadcast(docs.sparkSession.createDataFrame([(*k, v) for k, v in sorted(p.items())], "_source string, _lang string, _topic string, p double"))
+    else:
+        table = raked_table(cells, targets, share)
+    out = base.join(table, list(AXES), "left").withColumn("p", F.coalesce("p", F.lit(share)))
+    return out.select("_row.*", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), F.col("p").alias("keep_prob"), (F.col("_draw") < F.col("p")).alias("sampled"))
