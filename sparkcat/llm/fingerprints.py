@@ -5,8 +5,12 @@ pairs into BINS bins (one permutation for all signature places), in each bin the
 text order, and their k-mers are hashed as a tuple. Moving text changes the order and thus the tuples, so signatures
 follow edit distance, not only the set of k-mers. Likeness: of the bins that either text fills, the share that is equal.
 
-Null and empty texts have an empty signature (like each other 1, like others 0); texts shorter than K are one k-mer.
-Equal texts have equal fingerprints. Repeated rows are separate. Documents with a null doc_id come last in the order.
+A text of fewer than some 130 k-mers leaves bins with one member, which tells its k-mer but no order, or none.
+
+Null and empty texts have an empty signature (like each other 1, like others 0); texts shorter than K are one k-mer; very
+long texts are fingerprinted whole. Equal texts have equal fingerprints. Repeated rows are separate: rows that share a
+doc_id follow each other in the order of their texts. Documents with a null doc_id come last in the order. Extra columns
+are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
