@@ -6,6 +6,7 @@ import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -107,6 +108,24 @@ class WordHashes:
         return np.array(out, dtype=np.uint64)
 
 
+_kept: dict = {}
+
+
+def kept(key: tuple, make: Callable):
+    """What a worker keeps from task to task for the operator at work; another operator's is dropped, so that the workers of
+    a pipeline hold one operator's tables at a time."""
+    if key not in _kept:
+        if len(_kept) > 1 or any(k[0] != key[0] for k in _kept):
+            _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def word_hashes() -> WordHashes:
+    """The process's own table of word hashes."""
+    return kept(("words",), WordHashes)
+
+
 def bounded_ids(df: DataFrame, key: str, bound: int) -> DataFrame:
     """At most `bound` rows of df, those with the smallest hash of the key: a fixed, source-independent sample."""
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(bound)
