@@ -107,7 +107,7 @@ def is_missing(df: DataFrame, column: str) -> Column:
 
 def filled(df: DataFrame, keys: Sequence[str], arrival: str, columns: Sequence[str] = SCALARS) -> DataFrame:
     """Per key, each column's first value in order of arrival that is not missing; columns the frame lacks are skipped."""
-    there = [c for c in columns if c in df.columns]
+    there = [c for c in dict.fromkeys(columns) if c in df.columns]
     return df.groupBy(*keys).agg(*[F.min_by(F.when(~is_missing(df, c), F.col(c)), F.when(~is_missing(df, c), F.col(arrival))).alias(c) for c in there])
 
 

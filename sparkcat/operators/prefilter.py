@@ -56,7 +56,8 @@ class Filters:
         text = lambda c: F.trim(F.coalesce(c, F.lit("")))
         name, sub = F.coalesce(F.nullif(text(raw_title), F.lit("")), text(title)), text(sub_category)
         kind = F.coalesce(F.nullif(text(category), F.lit("")), taxonomy.normalize_category(F.coalesce(F.nullif(sub, F.lit("")), text(raw_title))))
-        playable = F.exists(F.coalesce(lines, F.array().cast("array<struct<episodes:array<struct<url:string>>>>")), lambda l: F.exists(F.coalesce(l["episodes"], F.array().cast("array<struct<url:string>>")), lambda e: F.coalesce(e["url"].rlike("^https?://"), F.lit(False))))
+        any_ = lambda xs, f: F.coalesce(F.exists(xs, lambda x: F.coalesce(f(x), F.lit(False))), F.lit(False))
+        playable = any_(lines, lambda l: any_(l["episodes"], lambda e: e["url"].rlike("^https?://")))
         none = (name == "") & (sub == "") & (text(category) == "") & lines.isNull()
         rules: list[tuple[Column, Column | str]] = [
             (none, "L5|empty_item"), (~kind.isin(*taxonomy.CATEGORIES), F.concat(F.lit("L1|分类白名单外:"), kind)), (kind.isin(*self.skip_categories) if self.skip_categories else F.lit(False), F.concat(F.lit("L2|分类黑名单:"), kind)),
@@ -86,9 +87,9 @@ def verified(kind: Column, url: Column, alt_urls: Column, seasons: Column, alive
     """(alive, url, alt_urls) of an item. A video lives by its own URL or by the first live alternative, which takes its
     place; only live alternatives stay. A series lives if any season's first episode has a live URL. alive: of a URL."""
     live = lambda u: F.coalesce(u.rlike("^https?://"), F.lit(False)) & F.coalesce(alive(u), F.lit(False))
-    alts = F.filter(F.coalesce(alt_urls, F.array().cast("array<struct<url:string>>")), lambda a: live(a["url"]))
-    own = live(url)
-    video = F.struct((own | (F.size(alts) > 0)).alias("alive"), F.when(own, url).otherwise(F.coalesce(F.get(alts, F.lit(0))["url"], url)).alias("url"), F.when(own, alts).otherwise(F.slice(alts, F.lit(2), F.greatest(F.size(alts), F.lit(1)))).alias("alt_urls"))
+    alts = F.filter(alt_urls, lambda a: live(a["url"]))
+    own, n = live(url), F.coalesce(F.size(alts), F.lit(0))
+    video = F.struct((own | (n > 0)).alias("alive"), F.when(own, url).otherwise(F.coalesce(F.get(alts, F.lit(0))["url"], url)).alias("url"), F.when(own, alts).otherwise(F.slice(alts, F.lit(2), F.greatest(n, F.lit(1)))).alias("alt_urls"))
     first = lambda s: F.get(s["episodes"], F.lit(0))
-    up = F.exists(F.coalesce(seasons, F.array().cast("array<struct<episodes:array<struct<url:string,alt_urls:array<struct<url:string>>>>>>")), lambda s: live(first(s)["url"]) | F.coalesce(F.exists(first(s)["alt_urls"], lambda a: live(a["url"])), F.lit(False)))
-    return F.when(kind == "video", video).otherwise(F.struct(up.alias("alive"), url.alias("url"), F.coalesce(alt_urls, F.array().cast("array<struct<url:string>>")).alias("alt_urls")))
+    up = F.coalesce(F.exists(seasons, lambda s: live(first(s)["url"]) | F.coalesce(F.exists(first(s)["alt_urls"], lambda a: live(a["url"])), F.lit(False))), F.lit(False))
+    return F.when(kind == "video", video).otherwise(F.struct(up.alias("alive"), url.alias("url"), alt_urls.alias("alt_urls")))

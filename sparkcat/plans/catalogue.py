@@ -575,3 +575,33 @@ def breaker_cooldown(spark, d):
 @query("q_penalised_rate", "select event_id, greatest(0.25, 4 * power(0.5, coalesce(sum((event_type = 'error')::int) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding), 0)))::double as rate from events")
 def penalised_rate(spark, d):
     return A.penalised_rate(table(spark, d, "events"), F.col("event_type") == "error", "event_id", 4.0, ["user_id"]).select("event_id", "rate")
+
+
+_RUN = """with p as (select p_partkey, p_name, p_type, p_size, p_size % 7 = 0 as skipped, p_size % 5 = 0 as dead from part), kept as (select * from p where not skipped and not dead),
+ n as (select distinct p_name, p_type <> 'ECONOMY' as film from kept), c as (select *, length(p_name) % 3 = 0 as bare, length(p_name) % 4 = 0 as unknown from n),
+ f as (select case when unknown and not bare then 'no_cover' when unknown then 'no_cover' when bare then 'no_cover' else case when film then 'video' else 'series' end end as part from c)
+ select part, count(*) as n from f group by 1 union all select 'L3|子分类黑词:skip', count(*) from p where skipped union all select 'library', count(*) from c union all select 'cache ' || case when unknown then 'hard_miss' else 'hit' end, count(*) from c group by 1"""
+
+
+@query("q_catalogue_run", _RUN)
+def catalogue_run(spark, d):
+    """A whole run: parts are raw items, each a line on one of two domains, one of them dead; a stored provider knows most of
+    their names, some without a cover."""
+    from ..operators import composed
+
+    p = table(spark, d, "part").withColumn("name", F.regexp_replace("p_name", "[^a-z ]", " "))
+    url = F.concat(F.when(F.col("p_size") % 5 == 0, "https://dead.x/").otherwise("https://live.x/"), F.col("p_partkey").cast("string"), F.lit(".m3u8"))
+    raw = p.select(
+        F.col("p_partkey").cast("string").alias("raw_id"), F.lit("s").alias("site"), F.col("p_name").alias("raw_title"), F.when(F.col("p_type") == "ECONOMY", "tv").otherwise("movies").alias("category"), F.when(F.col("p_size") % 7 == 0, "skip it").otherwise("").alias("sub_category"),
+        F.lit("").alias("year"), F.lit("").alias("poster"), F.lit("").alias("overview"), F.lit("").alias("douban_id"), F.lit("2026-01-01 00:00:00").alias("update_time"), F.array(F.struct(F.lit("l").alias("line_name"), F.array(F.struct(F.lit("第01集").alias("name"), url.alias("url"))).alias("episodes"))).alias("lines"), F.lit(1).alias("priority"))
+    known = p.where("length(p_name) % 4 <> 0").groupBy(F.col("p_name").alias("title"), F.when(F.col("p_type") == "ECONOMY", "tv").otherwise("movie").alias("media_type")).agg(F.min("p_partkey").cast("int").alias("pos"))
+    cand = known.select("title", "media_type", "pos", F.lit("").alias("original_title"), F.lit("o").alias("overview"), F.when(F.length("title") % 3 != 0, "c").otherwise("").alias("poster"), F.lit(None).cast("string").alias("year"), F.col("pos").cast("string").alias("tmdb_id"), F.lit(5.0).alias("popularity"))
+    registry = spark.createDataFrame([("dead.x", "dead"), ("live.x", "alive")], "domain string, state string")
+    library = spark.createDataFrame([], "merge_key string, payload string, first_seen long, last_updated long, scraped int, scrape_status string, confidence int, attempts int, weight double, is_new int")
+    cache = spark.createDataFrame([], "merge_key string, status string, expires long, ts long")
+    out = composed.run(raw, P.Filters.of({"prefilter": {"sub_category_blacklist": ["skip"]}}), registry, library, cache, [V.StoredProvider("tmdb", cand, block=64)], NOW, 2026)
+    count = lambda df, name: df.groupBy(name.alias("part")).agg(F.count("*").alias("n"))
+    parts = [count(out.items, F.col("type")), count(out.unmatched, F.col("reason")), out.reasons.select(F.col("reason").alias("part"), "n"), count(out.library, F.lit("library")), count(out.cache, F.concat(F.lit("cache "), "status"))]
+    from functools import reduce
+
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(master: str = "local[*]", shuffle_partitions: int = 8, driver_memory: str = "8g", warehouse: str | None = None) -> SparkSession:
@@ -35,3 +35,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="sparkcat-")
     return f"{base.rstrip('/')}/sparkcat/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to a new shared folder and read it again: cuts lineage, survives lost executors."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
