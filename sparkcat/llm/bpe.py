@@ -20,7 +20,6 @@ import heapq
 import json
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -28,9 +27,11 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from .common import kept
+
 #: Below this character all versions of Unicode's tables in use agree on letters and digits.
 LAST_COMMON = "\u0400"
-KEEP_WORDS, KEEP_PAIRS = 250_000, 1_000_000
+KEEP_WORDS, KEEP_PAIRS = 150_000, 300_000
 #: Texts of up to so many units are merged by plain scans for the least rank, longer ones by a heap.
 SHORT = 24
 NEVER = (1 << 60, -1)
@@ -73,9 +74,9 @@ class WordBpe:
             self.match.add_word(u, (len(u), i))
         self.match.make_automaton()
         self.single = {u: i for i, u in self.units.items() if len(u) == 1}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}  # the words kept before: those met again stay
+        self.pairs: dict[int, bool] = {}  # by both ids in one number
+        self.words: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.older: dict[str, bytes] = {}  # the words kept before: those met again stay
         # The offset table: all token texts in one buffer, each after a space.
         size = max([*self.vocab.values(), *self.special.values()]) + 1
         texts = [b""] * size
@@ -126,11 +127,12 @@ class WordBpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """The pair-compatibility table, filled as pairs are met. a = -1: b stands alone at a word's start."""
-        if (got := self.pairs.get((a, b))) is None:
+        key = (a << 32) + b
+        if (got := self.pairs.get(key)) is None:
             if len(self.pairs) > KEEP_PAIRS:
                 self.pairs.clear()
             want = [b] if a < 0 else [a, b]
-            got = self.pairs[a, b] = self.merged("".join(self.units[i] for i in want)) == want
+            got = self.pairs[key] = self.merged("".join(self.units[i] for i in want)) == want
         return got
 
     def encode_units(self, units: str) -> tuple[int, ...]:
@@ -144,7 +146,7 @@ class WordBpe:
             options = at[pos]
             while pick <= len(options):
                 length, token = options[-pick]
-                if pos + length not in dead and ((ok := pairs.get((before, token))) or (ok is None and compatible(before, token))):
+                if pos + length not in dead and ((ok := pairs.get((before << 32) + token)) or (ok is None and compatible(before, token))):
                     break
                 pick += 1
             if pick <= len(options):
@@ -161,8 +163,8 @@ class WordBpe:
                 return tuple(self.merged(units))
         return tuple(t for _, t, _ in path)
 
-    def word(self, word: str, text: str | None = None) -> tuple[int, ...]:
-        """The ids of a word; text: the same in the byte alphabet, if known."""
+    def word(self, word: str, text: str | None = None) -> bytes:
+        """The ids of a word, as 32-bit numbers; text: the same in the byte alphabet, if known."""
         got = self.words.get(word)
         if got is None:
             if len(self.words) > KEEP_WORDS:
@@ -172,26 +174,27 @@ class WordBpe:
             got = self.older.get(word)
             if got is None:
                 text = text or "".join([self.bytes[b] for b in word.encode()])
-                got = self.encode_units(text[:-1] + self.end_unit[text[-1]] if self.end else text)
+                got = np.array(self.encode_units(text[:-1] + self.end_unit[text[-1]] if self.end else text), dtype=np.int32).tobytes()
             self.words[word] = got
         return got
 
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
+        return self.encode_array(text).tolist()
+
+    def encode_array(self, text: str | None) -> np.ndarray:
+        out: list[bytes] = []
         if not text:
-            return out
+            return np.empty(0, np.int32)
         parts = self.special_split.split(text) if self.special_split and self.special_start in text else [text]
-        word, words, extend = self.word, self.words, out.extend
+        word, words = self.word, self.words
         for part in parts:
             if part in self.special:
-                out.append(self.special[part])
+                out.append(np.int32(self.special[part]).tobytes())
             elif part and max(part) >= LAST_COMMON:  # newer letters: the library's tables of characters decide
-                for text, _ in self.presplit(self.normalize(part)):
-                    extend(self.word("\0" + text, text))
+                out += [self.word("\0" + piece, piece) for piece, _ in self.presplit(self.normalize(part))]
             elif part:
-                for w in self.split.findall(self.normalize(part)):
-                    extend(words[w] if w in words else word(w))
-        return out
+                out += [words[w] if w in words else word(w) for w in self.split.findall(self.normalize(part))]
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Token texts joined by spaces, as UTF-8, gathered from the buffer at the tokens' offsets."""
@@ -203,9 +206,8 @@ class WordBpe:
         return self.buffer[np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)].tobytes()[1:]
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
-    return WordBpe(path)
+    return kept(("bpe", path), lambda: WordBpe(path))
 
 
 def _run(path: str, digests: bool):
@@ -217,11 +219,11 @@ def _run(path: str, digests: bool):
                 part = pdf.iloc[at : at + 200]
                 rows = []
                 for text in part["text"]:
-                    ids = bpe.encode(text)
+                    ids = bpe.encode_array(text)
                     if digests:
-                        rows.append((len(ids), hashlib.sha256(" ".join([texts[i] for i in ids]).encode()).hexdigest(), hashlib.sha256(bpe.decode(np.array(ids, dtype=np.int64))).hexdigest()))
+                        rows.append((len(ids), hashlib.sha256(" ".join([texts[i] for i in ids.tolist()]).encode()).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()))
                     else:
-                        rows.append((len(ids), np.array(ids, dtype=np.int32)))
+                        rows.append((len(ids), ids))
                 names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "token_ids"]
                 cols = list(zip(*rows, strict=True)) or [[]] * len(names)
                 yield part.drop(columns=["text"]).assign(**dict(zip(names, map(list, cols), strict=True)))
