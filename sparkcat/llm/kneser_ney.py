@@ -10,10 +10,11 @@ hash into as many shards as there are shuffle partitions; so is the model. Shard
 sums are added up per document.
 
 Perplexity is exp(-mean log probability) per word. Per language, the bound is the QUANTILE of the calibration documents'
-perplexities; languages with fewer than 20 of those use the bound over all. A document is kept if it does
-not exceed its language's bound. Documents without words have no perplexity and are not kept. Null languages are ''.
-Repeated rows each have a row with the same result. No trusted rows: all documents with words are kept. Extra columns
-are ignored; an empty table gives an empty result.
+perplexities; languages with fewer than LEAST of those use the bound over all. A document is kept if it does
+not exceed its language's bound. Null, empty and blank texts have no perplexity and are not kept; very long texts are
+scored whole. Null languages are ''. Repeated rows each have a row with the same result; a null doc_id has no label. No
+trusted rows: all documents with words are kept. Extra columns are ignored, whatever their names; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHashes, fmix64, lower_ascii, runtime_bloom, stored, words_column
+from .common import WORD, WordHashes, fmix64, forget, lower_ascii, runtime_bloom, stored, word_hashes, words_column
 
-ORDER, WORDS, QUANTILE = 3, 2_000_000, 0.995
+ORDER, QUANTILE, LEAST = 3, 0.995, 20
 START = 7  # the hash of the mark before a text
 #: A chunk of texts ends at so many characters or texts; so many numbers of the model are packed at a time.
 SHARD, CHARS, TEXTS, NUMBERS = 2**15, 4_000_000, 2**16, 2**20
@@ -61,7 +62,7 @@ def features(text: str | None, hashes: WordHashes) -> list[np.ndarray]:
 
 
 def _trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
+    hashes = word_hashes()
     for pdf in batches:
         rows: Counter = Counter()
         for text in pdf["text"]:
@@ -83,21 +84,6 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"gram": out.view(np.int64), "value": pdf["value"]})
 
 
-def within(docs: DataFrame, ids: DataFrame, words: int = WORDS) -> DataFrame:
-    """Of a bounded number of ids, those that a running total of words, by the hash of the id, leaves within the bound.
-    classify() trains on all ids and has no use for it."""
-    size = F.size(words_column(F.col("text")))
-    got = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.sum(size).alias("n"))
-    rows = got.where(F.col("n") <= words // 20).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    total, taken = 0, []
-    for r in rows:
-        total += r["n"]
-        if total > words:
-            break
-        taken.append((r["doc_id"],))
-    return docs.sparkSession.createDataFrame(taken, "doc_id long")
-
-
 def _counted(name: str = "") -> list:
     """How many of m are 1, 2, 3 and 4."""
     return [F.count_if(F.col("m") == i).alias(f"{name}n{i}") for i in (1, 2, 3, 4)]
@@ -110,9 +96,10 @@ def _discounts(r) -> list[float]:
     return [min(max(x, 0.05), cap) for x, cap in zip(raw, (0.95, 1.9, 2.8), strict=True)]
 
 
-def train(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, float]:
+def train(docs: DataFrame, ids: DataFrame, made: list[DataFrame] | None = None) -> tuple[DataFrame, float]:
     """The model as (gram, value): what each occurrence of a hashed n-gram or context adds to a log probability; and the
-    log probability of an unseen word. Both grow with the texts of `ids`, which has each id once."""
+    log probability of an unseen word. Both grow with the texts of `ids`, which has each id once. The stored tables that the
+    model is read from are added to `made`, for the caller to delete in the end."""
     spark = docs.sparkSession
     texts = docs.join(ids, "doc_id", "left_semi").select("text")
     # One shuffle by context serves the counts of trigrams and the sums of their contexts.
@@ -124,8 +111,8 @@ def train(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, float]:
     with runtime_bloom(spark):
         tri = stored(tri.withColumns(sums(by) | {"first": F.col("c") == F.min("c").over(by)}), "kn-trigrams")
     # Lower orders count the distinct words to the left (continuation counts).
-    two = stored(tri.groupBy("b", "c").agg(F.count("*").alias("m")), "kn-bigrams")
-    one = stored(two.groupBy("c").agg(F.count("*").alias("m")), "kn-words")
+    two = two_counts = stored(tri.groupBy("b", "c").agg(F.count("*").alias("m")), "kn-bigrams")
+    one = word_counts = stored(two.groupBy("c").agg(F.count("*").alias("m")), "kn-words")
     d = {}
     for k, t in ((1, one), (2, two), (3, tri)):
         stats = t.agg(*_counted(), F.count("*").alias("types"), F.sum("m").alias("total"), F.count_if(F.col("m") > 2).alias("c3")).first()
@@ -143,6 +130,8 @@ def train(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, float]:
     ).withColumn("gamma", gamma(2))
     two = two.join(after, "b").join(one, "c").select("b", "c", "low", "gamma", (own(2) / F.col("sum") + F.col("gamma") * F.col("low")).alias("p"))
     two = stored(two, "kn-p2")
+    if made is not None:
+        made += [tri, two_counts, word_counts, two]
     three = tri.join(two.select("b", "c", F.col("p").alias("low")), ["b", "c"]).withColumn("gamma", gamma(3))
     three = three.withColumn("p", own(3) / F.col("sum") + F.col("gamma") * F.col("low"))
     zero = F.lit(0).cast("long")
@@ -224,7 +213,7 @@ def packed_texts(docs: DataFrame, n: int) -> DataFrame:
     each occurs; for each occurrence the place of its text in `docs`; and `docs`, the texts' values of `_key`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             for part in _chunks(batch):
                 found = [features(t, hashes) for t in part.column("text").to_pylist()]
@@ -278,12 +267,23 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, n_words, perplexity, bound, kept of every document."""
     good = stored(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "kn-trusted")
     held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) == 0
-    values, unseen = train(docs.select("doc_id", "text"), good.where(~held))
+    made = [good]
+    values, unseen = train(docs.select("doc_id", "text"), good.where(~held), made)
     out = stored(perplexities(docs, values, unseen), "kn-perplexity")
     sample = out.join(good.where(held), "doc_id").where("perplexity is not null")
-    q = lambda: F.percentile_approx("perplexity", QUANTILE, 10_000)
-    overall = sample.agg(q().alias("q")).first()["q"]
-    bounds = sample.groupBy("lang").agg(q().alias("q"), F.count("*").alias("n")).where("n >= 20").select("lang", F.col("q").alias("bound"))
-    fallback = F.lit(float("inf") if overall is None else overall)
+    overall = quantiles(sample.withColumn("lang", F.lit(""))).first()
+    bounds = quantiles(sample).where(F.col("n") >= LEAST).select("lang", "bound")
+    fallback = F.lit(float("inf") if overall is None else overall["bound"])
+    bounds = stored(bounds, "kn-bounds")
+    forget(docs.sparkSession, *made)
     out = out.join(bounds, "lang", "left").withColumn("bound", F.coalesce("bound", fallback))
     return out.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("bound"), F.lit(False))).select("doc_id", "lang", "n_words", "perplexity", "bound", "kept")
+
+
+def quantiles(sample: DataFrame, q: float = QUANTILE) -> DataFrame:
+    """lang, bound, n: per language the largest perplexity of the class of nearly equal ones (1 in 10,000) that the quantile
+    falls into, and the number of rows. Counts of classes are exact sums, so every run gives the same bound."""
+    classes = sample.groupBy("lang", F.floor(F.log("perplexity") * 10_000).alias("k")).agg(F.count("*").alias("m"), F.max("perplexity").alias("top"))
+    so_far = F.sum("m").over(Window.partitionBy("lang").orderBy("k"))
+    ranked = classes.withColumns({"so_far": so_far, "n": F.sum("m").over(Window.partitionBy("lang"))})
+    return ranked.where(F.col("so_far") >= F.ceil(q * F.col("n"))).groupBy("lang").agg(F.min("top").alias("bound"), F.first("n").alias("n"))
