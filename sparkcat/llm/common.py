@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import re
 import tempfile
 import uuid
@@ -91,7 +92,7 @@ def odd_constants(seed: int, n: int) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, kept for repeated words up to a fixed number of entries (memory bound, not a data cap)."""
 
-    def __init__(self, seed: int = 0, keep: int = 300_000):
+    def __init__(self, seed: int = 0, keep: int = 200_000):
         self.seed, self.keep, self.seen = seed, keep, {}
 
     def __call__(self, words: list[str]) -> np.ndarray:
@@ -117,6 +118,7 @@ def kept(key: tuple, make: Callable):
     if key not in _kept:
         if len(_kept) > 1 or any(k[0] != key[0] for k in _kept):
             _kept.clear()
+            gc.collect()
         _kept[key] = make()
     return _kept[key]
 
