@@ -1,6 +1,9 @@
 """From raw documents to training tokens, in stages that are each written as Parquet and read again.
 
-All stages but the last return the columns of documents; each works on all that its predecessor kept.
+All stages but the last return the columns of documents, with their values as they came: rows travel whole, as one struct,
+through operators that add columns, so columns of any name may be there. Each works on all that its predecessor kept.
+Stages tell texts by themselves: null, empty, blank and very long texts have a result like any other (below), rows that
+repeat are judged alike, each by itself, and empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -9,34 +12,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkcat.llm import bpe, mixing, near_dedup, quality_rules, toxicity
-from sparkcat.llm.common import stored, table
+from sparkcat.llm.common import forget, stored, table
 from sparkcat.llm.queries import tokenizer_file
 
 
+def carried(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns that an operator needs, and whole rows as the struct _document beside them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_document"), *needed)
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below 0.5."""
-    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
-    return scored.where(F.col("toxicity") < 0.5).select(*docs.columns)
+    """Documents with a toxicity score below 0.5. Null and empty texts score as texts without terms and stay; ties at 0.5 go.
+    A row's doc_id matters for training only, where null is no label's."""
+    scored = toxicity.score(carried(docs, "text"), toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels")))
+    return scored.where(F.col("toxicity") < 0.5).select("_document.*")
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the ratio's threshold."""
-    return quality_rules.quality_rules(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    """Documents that pass the base rules and the ratio's threshold (a score equal to it passes). Null, empty and blank texts
+    have no words and go."""
+    judged = quality_rules.quality_rules(carried(docs, "doc_id", "text"), table(spark, sf_dir, "labels"))
+    return judged.where("kept").select("_document.*")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: that with the smallest doc_id."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns))
+    """One document of each component of texts alike to 80 % or more: that with the smallest doc_id. Null and empty texts are
+    like no other and stay, as do rows with a null doc_id; rows that repeat a doc_id are one document and share its fate,
+    which stays if one of its texts does."""
+    kept = near_dedup.near_duplicates(docs, 80).where("kept and doc_id is not null").select("doc_id").distinct()
+    return docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def to_target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens follow the target shares of sources, languages and topics."""
-    return mixing.mixed(docs).where("sampled").select(*docs.columns)
+    """A sample whose tokens follow the target shares of sources, languages and topics. Null sources and languages are a value
+    of their own; null and empty texts have no tokens and the probability of their cell, or of all tokens; a null doc_id
+    draws the number of an empty one."""
+    return mixing.mixed(carried(docs, "doc_id", "text", "source", "lang")).where("sampled").select("_document.*")
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of token ids and of the decoded text."""
+    """doc_id, n_tokens and the digests of token ids and of the decoded text, for each row; null and empty texts have none."""
     return bpe.encode_digests(docs, tokenizer_file("word_bpe_49k.json"))
 
 
@@ -53,6 +68,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        after = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if i:
+            forget(spark, docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
