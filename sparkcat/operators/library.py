@@ -17,6 +17,7 @@ from .contract import EPISODE_TYPE, new_episode, new_season
 
 #: Weights of categories in the cold lane's order (fixed values).
 WEIGHTS = {"variety": 2.0}
+#: The fields of an item that are filled from the first source that has them (fixed values).
 SCALARS = ("source_provider", "provider", "canonical_title", "original_title", "year", "first_air_date", "overview", "rating", "rating_source", "vote_count", "runtime", "genres", "cast", "director", "country",
            "original_language", "studio", "logo", "certification", "popularity", "number_of_seasons", "number_of_episodes")
 

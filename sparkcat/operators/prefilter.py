@@ -58,6 +58,7 @@ class Filters:
         kind = F.coalesce(F.nullif(text(category), F.lit("")), taxonomy.normalize_category(F.coalesce(F.nullif(sub, F.lit("")), text(raw_title))))
         any_ = lambda xs, f: F.coalesce(F.exists(xs, lambda x: F.coalesce(f(x), F.lit(False))), F.lit(False))
         playable = any_(lines, lambda l: any_(l["episodes"], lambda e: e["url"].rlike("^https?://")))
+        # The texts of reasons are fixed values, which reports are counted by.
         none = (name == "") & (sub == "") & (text(category) == "") & lines.isNull()
         rules: list[tuple[Column, Column | str]] = [
             (none, "L5|empty_item"), (~kind.isin(*taxonomy.CATEGORIES), F.concat(F.lit("L1|分类白名单外:"), kind)), (kind.isin(*self.skip_categories) if self.skip_categories else F.lit(False), F.concat(F.lit("L2|分类黑名单:"), kind)),

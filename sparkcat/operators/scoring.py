@@ -13,6 +13,8 @@ from ..functions import udf as U
 from ..functions.titles import SIMPLIFIED, VARIANTS
 from .merge import top_per_key
 
+#: How many candidates of a source are scored, the bands of a score, and the separators that titles are compared without
+#: (fixed values, as are the weights and limits below).
 CANDIDATES = 5
 BANDS = (70, 55, 40)
 _FOLD = {**SIMPLIFIED, **VARIANTS}
