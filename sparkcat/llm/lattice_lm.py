@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 from .common import WORD, fmix64, forget, lower_ascii, not_fold, odd_constants, stored
 
 STEPS, FREQUENT = 3, 200_000
-KEEP_WORDS = 300_000
+KEEP_WORDS = 200_000
 #: Words of up to LONG characters (with their mark) are run together by length, BATCH at a time; longer ones one by one.
-LONG, BATCH = 64, 2000
+LONG, BATCH = 64, 4000
+#: Words are gathered to so many before they run.
+GATHER = 50_000
 
 
 class Pieces:
@@ -232,6 +234,19 @@ class WordKeys:
         return out
 
 
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches joined to GATHER rows or more, so that many words have one length."""
+    held, n = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= GATHER:
+            yield pd.concat(held)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held)
+
+
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Words of batches with their counts in training texts and in all texts."""
     for pdf in batches:
@@ -248,7 +263,7 @@ def _expected(path: str, counts: np.ndarray | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = Pieces(path, counts)
         into = np.zeros(len(pieces.texts))
-        for pdf in batches:
+        for pdf in _gathered(batches):
             pieces.run([marked(w) for w in pdf["w"]], into)
         used = np.nonzero(into)[0]
         yield pd.DataFrame({"piece": used, "n": into[used]})
@@ -275,7 +290,7 @@ def train(docs: DataFrame, path: str) -> tuple[DataFrame, int, int, int, float]:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces, word_keys = Pieces(path, e), WordKeys()
-        for pdf in batches:
+        for pdf in _gathered(batches):
             m = math.log(back) + pieces.run([marked(w) for w in pdf["w"]])
             c = pdf["c"].to_numpy()
             with np.errstate(divide="ignore"):
