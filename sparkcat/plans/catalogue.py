@@ -605,3 +605,37 @@ def catalogue_run(spark, d):
     from functools import reduce
 
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("q_listed_category", "select p_partkey, case when contains(p_type, 'PROMO') then null when contains(p_name, 'green') then 'anime' when contains(p_name, 're') then 'tv' end as category from part")
+def listed_category(spark, d):
+    """The longest listed word decides; words to discard come first."""
+    text = F.concat_ws(" ", "p_name", "p_type")
+    return table(spark, d, "part").select("p_partkey", X.listed_category(text, {"re": "tv", "green": "anime"}, ("PROMO",)).alias("category"))
+
+
+@query("q_category_conflicts", "select p_name || p_partkey as title, 'movies' as entry_category, 'anime' as corrected_category, 'genres' as reason from part where p_size % 4 = 0 order by 1 limit 50")
+def category_conflicts(spark, d):
+    """A report of some rows whose category an authority corrected."""
+    p = table(spark, d, "part").select(F.concat("p_name", F.col("p_partkey").cast("string")).alias("title"), F.lit("movies").alias("entry"), F.when(F.col("p_size") % 4 == 0, "anime").when(F.col("p_size") % 4 == 1, "").otherwise("movies").alias("corrected"), F.lit("genres").alias("why"))
+    return X.conflicts(p, "title", "entry", "corrected", "why", 50)
+
+
+@query("q_lines_alive", """with h as (select l_orderkey, l_linenumber, l_suppkey, l_partkey, l_suppkey % 3 <> 0 as up from lineitem) select l_orderkey, count(*)::int as lines, count(*) filter (where up)::int as alive from h group by 1""")
+def lines_alive(spark, d):
+    """Of an order's lines those whose first episode lies on a live domain; one URL stands for its line."""
+    url = F.concat(F.lit("https://h"), (F.col("l_suppkey") % 3).cast("string"), F.lit(".x:8080/"), F.col("l_partkey").cast("string"))
+    dead = F.lit("https://h0.x:8080/other")
+    line = F.struct(F.array(F.struct(url.alias("url")), F.struct(dead.alias("url"))).alias("episodes"))
+    x = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    alive = F.array(F.lit("h1.x:8080"), F.lit("h2.x:8080"))
+    return x.select("l_orderkey", F.size("lines").alias("lines"), F.size(P.kept_lines(F.col("lines"), alive)).alias("alive"))
+
+
+@query("q_safe_casts", "select o_orderkey, case o_orderkey % 4 when 0 then o_orderkey when 1 then 12 else 0 end::bigint as number, case o_orderkey % 4 when 0 then o_orderkey::double when 1 then 12.7 else null end::double as rating from orders")
+def safe_casts(spark, d):
+    """Numbers out of texts: fractions are cut, what is none is 0, or null where a rating is asked for."""
+    k = F.col("o_orderkey") % 4
+    text = F.when(k == 0, F.col("o_orderkey").cast("string")).when(k == 1, " 12.7 ").when(k == 2, "x")
+    number = F.coalesce(F.trim(text).try_cast("double").try_cast("bigint"), F.lit(0))
+    return table(spark, d, "orders").select("o_orderkey", number.alias("number"), F.trim(text).try_cast("double").alias("rating"))
