@@ -130,8 +130,9 @@ def neighbours(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    at = [i / n for i in range(1, n)] or [0.5]
-    stats = docs.agg(F.percentile_approx("doc_id", at, 100_000).alias("q"), F.max("doc_id").alias("top"), F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    at = [i / n for i in range(1, n)]
+    cuts = F.percentile_approx("doc_id", at, 100_000) if at else F.lit(None)
+    stats = docs.agg(cuts.alias("q"), F.max("doc_id").alias("top"), F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
     ends = sorted({*(stats["q"] or []), stats["top"]} - {None})  # as many numbers as shuffle partitions
     lit = F.array(*[F.lit(int(x)) for x in ends]) if ends else F.array().cast("array<bigint>")
     below = F.size(F.filter(lit, lambda q: q < F.col("doc_id"))).cast("int")
