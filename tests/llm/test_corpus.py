@@ -199,6 +199,15 @@ def test_warc_of_another_program_is_resolved(spark, tmp_path):
     assert len({r["record_id"] for r in got.values()} | {"<urn:x:a>"}) == 7
 
 
+def test_plain_warc_files(spark, tmp_path):
+    http, bodies = b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\n", [b"a\r\n\r", b"same", b"same", b"\r\n\r\n"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.warc").write_bytes(b"".join(gzip.decompress(foreign("response", i, f"2020-01-0{i + 1}T00:00:00Z", http + x)) for i, x in enumerate(bodies)))
+    assert sorted(bytes(r["payload"]) for r in warc.read(spark, f"file://{tmp_path}/in", compressed=False).collect()) == sorted(bodies)
+    warc.deduplicated(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out", compressed=False)
+    assert sorted((r["uri"][-1], r["record_type"]) for r in warc.read(spark, f"file://{tmp_path}/out").collect()) == [("0", "response"), ("1", "response"), ("2", "revisit"), ("3", "response")]
+
+
 def test_warc_damage_is_an_error(spark, tmp_path):
     whole = gzip.decompress(foreign("response", "a", "2020-01-02T00:00:00Z", b"HTTP/1.1 200 OK\r\n\r\nabc", "\r\nWARC-Payload-Digest: sha1:" + warc.base32_sha1(b"abc")))
     for name, data in (("short", whole[:-6]), ("long", whole.replace(b"abc", b"abcd")), ("other", whole.replace(b"abc", b"abd")), ("no", b"x" + whole)):
@@ -224,6 +233,19 @@ def test_fingerprints(spark):
     assert fingerprints.neighbours(one).first()["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 5])
+def test_the_next_document_with_null_and_repeated_ids(spark, buckets):
+    """Order: falling doc_id, nulls last, ties by text; the first follows the last."""
+    rows = [(None, "null b"), (None, "null a"), (5, "five b"), (5, "five a"), (7, "seven"), (1, "one"), (2, None), (9, "nine" * 30), (9, "nine" * 30)]
+    got = fingerprints.neighbours(spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, bucket string, copy string"), buckets).collect()
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = []
+    for k, (i, t) in enumerate(order):
+        e = fingerprints.edited(t, order[(k + 1) % len(order)][1])
+        want.append((str(i), len(t), hashlib.sha256(e.encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
+
+
 def plain_signature(text):
     """A signature in plain integers: number the k-mers, deal them into bins, hash each bin's two smallest in text order."""
     mask, k = 2**64 - 1, fingerprints.K
