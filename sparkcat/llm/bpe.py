@@ -58,7 +58,8 @@ class WordBpe:
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         # What all special tokens start with: a text without it has none of them.
         self.special_start = os.path.commonprefix(list(self.special))
-        library = Tokenizer.from_file(path)
+        # Of the library only what comes before the model, so that its own tables are not held beside these.
+        library = Tokenizer.from_str(json.dumps({**spec, "model": {"type": "WordLevel", "vocab": {"": 0}, "unk_token": ""}, "added_tokens": [], "post_processor": None, "decoder": None}))
         self.normalize, self.presplit = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.bytes = byte_alphabet()

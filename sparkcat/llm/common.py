@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import re
 import tempfile
@@ -92,7 +93,7 @@ def odd_constants(seed: int, n: int) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, kept for repeated words up to a fixed number of entries (memory bound, not a data cap)."""
 
-    def __init__(self, seed: int = 0, keep: int = 200_000):
+    def __init__(self, seed: int = 0, keep: int = 100_000):
         self.seed, self.keep, self.seen = seed, keep, {}
 
     def __call__(self, words: list[str]) -> np.ndarray:
@@ -118,11 +119,19 @@ def kept(key: tuple, make: Callable):
     if key not in _kept:
         if len(_kept) > 1 or any(k[0] != key[0] for k in _kept):
             _kept.clear()
-            gc.collect()
+            _give_back()
         _kept[key] = make()
     return _kept[key]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def word_hashes() -> WordHashes:
     """The process's own table of word hashes."""
     return kept(("words",), WordHashes)

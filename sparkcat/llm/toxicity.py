@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from .common import GAP_SQL, bounded_ids, forget, kept, not_fold, stored
 
 SAMPLE, WINDOW, LEAST_DF = 20_000, 6, 3
-KEEP_WORDS = 150_000
+KEEP_WORDS = 100_000
 EDGE = r"[\p{P}\p{S}]"
 STRIP = re.compile(r"^[\W_]+|[\W_]+$")
 FOLD = str.maketrans({"@": "a", "4": "a", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t"})
