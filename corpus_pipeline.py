@@ -39,8 +39,11 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """One document of each component of texts alike to 80 % or more: that with the smallest doc_id. Null and empty texts are
     like no other and stay, as do rows with a null doc_id; rows that repeat a doc_id are one document and share its fate,
     which stays if one of its texts does."""
-    kept = near_dedup.near_duplicates(docs, 80).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    judged = near_dedup.near_duplicates(docs, 80).where("doc_id is not null")
+    gone = judged.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("stays")).where("stays = 0").select("doc_id")
+    # Stored, so that Spark knows the ids' size: while they are few (by its own threshold) it broadcasts them and shuffles no text.
+    gone = stored(gone, "near-copies")
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def to_target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
