@@ -148,17 +148,18 @@ def not_fold(column: str, mod: int, rest: int) -> Column:
 
 
 @contextlib.contextmanager
-def runtime_bloom(spark: SparkSession):
+def runtime_bloom(spark: SparkSession, more: dict[str, str] | None = None):
     """Inside, Spark filters a join's large side by a Bloom filter of the small side before it shuffles.
 
     The filter has a fixed size (spark.sql.optimizer.runtime.bloomFilter.maxNumBits, 8 MB), whatever the tables' sizes.
     The small side needs a comparison as a filter, which Spark takes as the sign that the filter pays.
+    Joins that are broadcast get no filter; `more` settings hold inside too.
     """
     wanted = {
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
         "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64g",
-    }
+    } | (more or {})
     before = {k: spark.conf.get(k, None) for k in wanted}
     try:
         for k, v in wanted.items():

@@ -8,8 +8,11 @@ trusted documents' scores, each by a model from whose trusted count the document
 doc_id) is left out. Only those that pass the base rules are taken.
 Word and pair counts of the raw corpus cover every document.
 
-Trusted documents are at most TRUSTED rows (smallest hashes of doc_id), so their ids are of a proven size to broadcast;
-the model is one array of BUCKETS numbers. No text is shuffled.
+All trusted documents count, and all their scores stand behind the threshold. Their ids grow with the input, so they are
+never broadcast: at any size the documents that pass a Bloom filter of them are shuffled once, not as texts but as two bytes
+a feature, and those of trusted documents are kept in a table until the model is made. The model is one array of BUCKETS
+numbers; the threshold is found by counting scores in CLASSES ranges, then in ranges of the one it is in, so that no more
+than that many rows reach the driver.
 
 Null, empty and blank texts have no words and fail; very long ones are counted whole. Repeated rows are judged alike, each
 by itself; a null doc_id has no label. A score equal to the threshold is kept. An empty table gives an empty result. With
@@ -24,9 +27,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GAP_SQL, bounded_ids
+from .common import GAP_SQL, forget, runtime_bloom, stored
 
-BUCKETS, TRUSTED, LOW, FOLDS = 16384, 20_000, 0.002, 5
+BUCKETS, LOW, FOLDS, CLASSES = 16384, 0.002, 5, 1000
 SYMBOLS = "#*$%&|<>"
 HAS_WORD = "[^\\x20\\x09-\\x0D]"
 
@@ -71,27 +74,48 @@ def counts(docs: DataFrame) -> DataFrame:
 
 def model(docs: DataFrame, labels: DataFrame) -> tuple[str, float]:
     """The log ratios of all buckets as text (one number each, a bounded size), and the threshold."""
-    ids = bounded_ids(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "doc_id", TRUSTED)
-    ids = F.broadcast(ids.withColumn("_fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")))
-    grams = hashed(docs.select("doc_id", "text").join(ids, "doc_id", "left")).select("_fold", F.explode(F.concat("_h", "_two")).alias("h"))
-    found = grams.groupBy(F.pmod("h", F.lit(BUCKETS)).cast("int").alias("b")).agg(F.count("*").alias("raw"), *[F.count_if(F.col("_fold") == i).alias(f"good{i}") for i in range(FOLDS)])
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
+    ids = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    ids = stored(ids.withColumn("_fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")), "quality-ids")
+    small = lambda c: F.transform(c, lambda h: F.pmod(h, F.lit(BUCKETS)).cast("short")).alias(c)
+    with runtime_bloom(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        trusted = counts(hashed(docs)).select("doc_id", "base_failed", small("_h"), small("_two")).join(ids.where("_fold >= 0"), "doc_id")
+        trusted = stored(trusted, "quality-trusted")
+    grams = lambda d, *by: d.select(*by, F.explode(F.concat("_h", "_two")).alias("h")).groupBy(*by, F.pmod("h", F.lit(BUCKETS)).cast("int").alias("b")).count().collect()
     raw, good = [1.0] * BUCKETS, [[0.0] * BUCKETS for _ in range(FOLDS)]
-    for r in found.collect():  # BUCKETS rows at most
-        raw[r["b"]] += r["raw"]
-        for i in range(FOLDS):
-            good[i][r["b"]] = r[f"good{i}"]
+    for r in grams(hashed(docs)):  # BUCKETS rows at most, and FOLDS times as many
+        raw[r["b"]] += r["count"]
+    for r in grams(trusted, "_fold"):
+        good[r["_fold"]][r["b"]] = r["count"]
     every = [1.0 + sum(x) for x in zip(*good, strict=True)]
     if sum(every) == BUCKETS:
+        forget(spark, ids, trusted)
         return ",".join(["0"] * BUCKETS), float("-inf")
     without = [_ratios([x - y for x, y in zip(every, g, strict=True)], raw) for g in good]
-    trusted = scored(counts(hashed(docs.select("doc_id", "text").join(ids, "doc_id"))), *without)
     past = F.when(~F.col("base_failed") & (F.col("_fixed") >= 0), F.col("score"))
-    # At most TRUSTED values, so the exact value at the quantile's place: the same in every run.
-    values = sorted(r["q"] for r in trusted.groupBy("doc_id").agg(F.min(past).alias("q")).where("q is not null").collect())
-    low = values[int(LOW * len(values))] if values else None
+    scores = scored(trusted, *without).groupBy("doc_id").agg(F.min(past).alias("q")).where("q is not null")
+    scores = stored(scores.select("q"), "quality-scores")
+    low = lowest(scores, LOW)
+    forget(spark, ids, trusted, scores)
     return _ratios(every, raw), low if low is not None else float("-inf")
 
 
+def lowest(values: DataFrame, share: float) -> float | None:
+    """The value of q at place int(share * rows) of the rows in order, from 0: the same in every run. None without rows."""
+    low, high, n = values.agg(F.min("q"), F.max("q"), F.count("q")).first()
+    at = int(share * n)
+    while n and low < high:
+        # Places in the range never fall as q grows, and its ends lie in different classes: each round's range is narrower.
+        place = F.floor((F.col("q") - low) / F.lit(high - low) * CLASSES).alias("k")
+        classes = values.where(F.col("q").between(low, high)).groupBy(place).agg(F.count("q").alias("n"), F.min("q").alias("low"), F.max("q").alias("high"))
+        for r in sorted(classes.collect(), key=lambda r: r["k"]):  # CLASSES + 1 rows at most
+            if at < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            at -= r["n"]
+    return low
+
+
 def _ratios(good: list[float], raw: list[float]) -> str:
     a, b = math.log(sum(good)), math.log(sum(raw))
     return ",".join(f"{math.log(g) - a - math.log(r) + b:.5f}" for g, r in zip(good, raw, strict=True))

@@ -417,6 +417,23 @@ def test_quality_verdicts_by_brute_force(spark):
             assert r["kept"] == (not quality_brute(r["text"])[5] and want >= bound)
 
 
+def test_quality_model_counts_all_trusted(spark):
+    """Where all documents are trusted, their counts are those of the corpus and all ratios 0, however many there are."""
+    docs = spark.range(20_500).selectExpr("id as doc_id", "concat('w', id) as text")
+    ratios, _ = quality_rules.model(docs, docs.selectExpr("doc_id", "1 as quality"))
+    assert not any(float(x) for x in ratios.split(","))
+
+
+@pytest.mark.parametrize("share", [0.0, 0.002, 0.5, 0.999])
+def test_quality_threshold_is_the_value_in_order(spark, share):
+    rng = np.random.default_rng(5)
+    values = [*rng.normal(size=3000).tolist(), *[0.25] * 500, *[0.25 + i * 2**-54 for i in range(9)], 1e300, -1e300, -0.5, 2.0]
+    for cut in (values, values[:3000], values[3000:3500], values[:1]):
+        got = quality_rules.lowest(spark.createDataFrame([(x,) for x in cut], "q double"), share)
+        assert got == sorted(cut)[int(share * len(cut))]
+    assert quality_rules.lowest(spark.createDataFrame([], "q double"), share) is None
+
+
 def test_llr_score_by_hand(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     ratios = ",".join(str(i % 7) for i in range(quality_rules.BUCKETS))
