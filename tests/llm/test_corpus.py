@@ -782,6 +782,15 @@ def test_pipeline(spark):
     assert set(out["doc_id"]) <= after and isinstance(out, pd.DataFrame) and (out["n_tokens"] > 0).all()
 
 
+def test_quality_stage_learns_from_all_trusted(spark, tmp_path):
+    """Of 20,500 trusted documents the 500 with the largest hashes have words of their own, and stay like the others."""
+    ids = [r["id"] for r in spark.range(20_500).orderBy(F.xxhash64("id")).collect()]
+    texts = [" ".join(f"{x}{i}" for i in range(60)) for x in "ab"]
+    docs = spark.createDataFrame([(i, texts[at >= 20_000]) for at, i in enumerate(ids)], "doc_id long, text string")
+    docs.selectExpr("doc_id", "1 as quality").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.of_quality(spark, docs, str(tmp_path)).count() == 20_500
+
+
 @pytest.mark.parametrize("at", range(4))
 def test_stages_take_odd_tables(spark, at):
     _, stage = corpus_pipeline.STAGES[at]
