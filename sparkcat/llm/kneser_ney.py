@@ -96,12 +96,14 @@ def _discounts(r) -> list[float]:
     return [min(max(x, 0.05), cap) for x, cap in zip(raw, (0.95, 1.9, 2.8), strict=True)]
 
 
-def train(docs: DataFrame, ids: DataFrame, made: list[DataFrame] | None = None) -> tuple[DataFrame, float]:
+def train(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, float]:
     """The model as (gram, value): what each occurrence of a hashed n-gram or context adds to a log probability; and the
-    log probability of an unseen word. Both grow with the texts of `ids`, which has each id once. The stored tables that the
-    model is read from are added to `made`, for the caller to delete in the end."""
+    log probability of an unseen word. Both grow with the texts of `ids`, which has each id once. The model is read from stored
+    tables, which the caller deletes in the end (forget)."""
     spark = docs.sparkSession
-    texts = docs.join(ids, "doc_id", "left_semi").select("text")
+    ids = stored(ids.select("doc_id"), "kn-trusted")
+    # A comparison that holds for all, as runtime_bloom needs one.
+    texts = docs.join(ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(10)) >= 0), "doc_id", "left_semi").select("text")
     # One shuffle by context serves the counts of trigrams and the sums of their contexts.
     tri = texts.mapInPandas(_trigrams, "a long, b long, c long, n long").repartition("a", "b").groupBy("a", "b", "c").agg(F.sum("n").alias("m"))
     sums = lambda w: {
@@ -110,13 +112,15 @@ def train(docs: DataFrame, ids: DataFrame, made: list[DataFrame] | None = None)
     by = Window.partitionBy("a", "b")
     with runtime_bloom(spark):
         tri = stored(tri.withColumns(sums(by) | {"first": F.col("c") == F.min("c").over(by)}), "kn-trigrams")
+    forget(spark, ids)
     # Lower orders count the distinct words to the left (continuation counts).
-    two = two_counts = stored(tri.groupBy("b", "c").agg(F.count("*").alias("m")), "kn-bigrams")
-    one = word_counts = stored(two.groupBy("c").agg(F.count("*").alias("m")), "kn-words")
+    two = stored(tri.groupBy("b", "c").agg(F.count("*").alias("m")), "kn-bigrams")
+    one = stored(two.groupBy("c").agg(F.count("*").alias("m")), "kn-words")
     d = {}
     for k, t in ((1, one), (2, two), (3, tri)):
         stats = t.agg(*_counted(), F.count("*").alias("types"), F.sum("m").alias("total"), F.count_if(F.col("m") > 2).alias("c3")).first()
         if not stats["types"]:
+            forget(spark, tri, two, one)
             return spark.createDataFrame([], "gram long, value double"), 0.0
         d[k] = _discounts(stats)
         if k == 1:
@@ -130,8 +134,6 @@ def train(docs: DataFrame, ids: DataFrame, made: list[DataFrame] | None = None)
     ).withColumn("gamma", gamma(2))
     two = two.join(after, "b").join(one, "c").select("b", "c", "low", "gamma", (own(2) / F.col("sum") + F.col("gamma") * F.col("low")).alias("p"))
     two = stored(two, "kn-p2")
-    if made is not None:
-        made += [tri, two_counts, word_counts, two]
     three = tri.join(two.select("b", "c", F.col("p").alias("low")), ["b", "c"]).withColumn("gamma", gamma(3))
     three = three.withColumn("p", own(3) / F.col("sum") + F.col("gamma") * F.col("low"))
     zero = F.lit(0).cast("long")
@@ -265,17 +267,16 @@ def perplexities(docs: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, n_words, perplexity, bound, kept of every document."""
-    good = stored(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct(), "kn-trusted")
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(10)) == 0
-    made = [good]
-    values, unseen = train(docs.select("doc_id", "text"), good.where(~held), made)
+    values, unseen = train(docs.select("doc_id", "text"), good.where(~held))
     out = stored(perplexities(docs, values, unseen), "kn-perplexity")
     sample = out.join(good.where(held), "doc_id").where("perplexity is not null")
     overall = quantiles(sample.withColumn("lang", F.lit(""))).first()
     bounds = quantiles(sample).where(F.col("n") >= LEAST).select("lang", "bound")
     fallback = F.lit(float("inf") if overall is None else overall["bound"])
     bounds = stored(bounds, "kn-bounds")
-    forget(docs.sparkSession, *made)
+    forget(docs.sparkSession, values)  # with all stored tables that the model is read from
     out = out.join(bounds, "lang", "left").withColumn("bound", F.coalesce("bound", fallback))
     return out.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("bound"), F.lit(False))).select("doc_id", "lang", "n_words", "perplexity", "bound", "kept")
 

@@ -19,7 +19,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkcat.llm import bpe, fingerprints, html_text, kneser_ney, lattice_lm, mixing, near_dedup, quality_rules, queries, toxicity, warc
+from sparkcat.llm import bpe, common, fingerprints, html_text, kneser_ney, lattice_lm, mixing, near_dedup, quality_rules, queries, toxicity, warc
 
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -735,6 +735,14 @@ def test_kneser_ney_trains_on_all_trusted_words(spark, monkeypatch):
     assert got.count() == 301 and got.where("doc_id = 7").distinct().count() == 1 and got.where("perplexity > 5").count() == 0
 
 
+def test_kneser_ney_deletes_its_model(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    for lab in (spark.read.parquet(f"{DATA}/labels.parquet"), labels(spark)):
+        kneser_ney.classify(documents(spark), lab)
+    left = [p.name.rsplit("-", 1)[0] for p in (tmp_path / "sparkcat").iterdir()]
+    assert sorted(left) == ["kn-bounds"] * 2 + ["kn-perplexity"] * 2
+
+
 def test_kneser_ney_join_equals_lookup(spark):
     """The sharded join gives each row the sum over its own n-grams, repeated rows included."""
     docs = edge(spark)
