@@ -19,6 +19,7 @@ import hashlib
 import heapq
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -31,6 +32,10 @@ from .common import kept
 
 #: Below this character all versions of Unicode's tables in use agree on letters and digits.
 LAST_COMMON = "\u0400"
+#: Below this character NFC changes nothing and lower case goes by single characters. White space only parts words, so there
+#: lower case does for a file whose steps are STEPS.
+LAST_PLAIN = "\u0300"
+STEPS = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 KEEP_WORDS, KEEP_PAIRS = 150_000, 300_000
 #: Texts of up to so many units are merged by plain scans for the least rank, longer ones by a heap.
 SHORT = 24
@@ -62,6 +67,10 @@ class WordBpe:
         library = Tokenizer.from_str(json.dumps({**spec, "model": {"type": "WordLevel", "vocab": {"": 0}, "unk_token": ""}, "added_tokens": [], "post_processor": None, "decoder": None}))
         self.normalize, self.presplit = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.last_plain = LAST_PLAIN if spec["normalizer"] == STEPS else ""
+        # The same for lower-cased ASCII text, where the standard library has no need of Unicode's tables.
+        ascii_split = self.split.pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+        self.split_ascii = re.compile(ascii_split, re.ASCII) if self.last_plain and r"\p" not in ascii_split else None
         self.bytes = byte_alphabet()
         # A unit is one symbol before any merge: a byte's character, or one with the word end. Units are single characters here.
         self.end_unit = {c: chr(0xE000 + i) for i, c in enumerate(self.bytes)}
@@ -191,10 +200,12 @@ class WordBpe:
         for part in parts:
             if part in self.special:
                 out.append(np.int32(self.special[part]).tobytes())
-            elif part and max(part) >= LAST_COMMON:  # newer letters: the library's tables of characters decide
+            elif self.split_ascii and part.isascii():
+                out += [words[w] if w in words else word(w) for w in self.split_ascii.findall(part.lower())]
+            elif part and (last := max(part)) >= LAST_COMMON:  # newer letters: the library's tables of characters decide
                 out += [self.word("\0" + piece, piece) for piece, _ in self.presplit(self.normalize(part))]
             elif part:
-                out += [words[w] if w in words else word(w) for w in self.split.findall(self.normalize(part))]
+                out += [words[w] if w in words else word(w) for w in self.split.findall(part.lower() if last < self.last_plain else self.normalize(part))]
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:

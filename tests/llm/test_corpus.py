@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import json
 import math
 import re
 import struct
@@ -156,6 +157,30 @@ def test_bpe_equals_library(spark):
     assert bpe.encode_documents(edge(spark), path).where("size(token_ids) <> n_tokens").count() == 0
 
 
+def test_bpe_plain_text_skips_the_normalizer(monkeypatch):
+    """Below U+0300 lower case alone gives the library's tokens, at every character."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    t, own = Tokenizer.from_file(path), bpe.WordBpe(path)
+    monkeypatch.setattr(own, "normalize", None)
+    for c in map(chr, range(0x300)):
+        for x in (c, f"A{c}{c}b", f"!{c}?", f"1{c}2", f"\xc9{c}\xea", f"it'{c}s '{c}", f"x {c} {c}Y"):
+            assert own.encode(x) == t.encode(x, add_special_tokens=False).ids
+
+
+def test_bpe_other_steps_go_by_the_file(tmp_path):
+    """A file that keeps capitals apart is not lower-cased."""
+    from tokenizers import Tokenizer
+
+    spec = json.load(open(queries.tokenizer_file("word_bpe_49k.json"), encoding="utf-8"))
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(spec | {"normalizer": {"type": "NFC"}}), encoding="utf-8")
+    t, own = Tokenizer.from_file(str(path)), bpe.WordBpe(str(path))
+    for x in ("Don't SHOUT 12 times", "<|endoftext|>", "\xc9t\xe9  OK", "a\tB"):
+        assert own.encode(x) == t.encode(x, add_special_tokens=False).ids
+
+
 def test_warc_round_trip_with_copies(spark):
     rows = [(1, "u", "<p>a</p>\r\n\r\nWARC/1.1\r\n"), (2, "u\r\nX: y", "same ü"), (3, "v", "same ü"), (4, None, None), (5, "w", ""), (9, "w", "same ü"), (9, "w", "same ü"), (10, "w", "x" * 300_000), (11, "w", "\r\n\r\n"), (12, "w", "a\r\n\r\n\r\n\r\n")]
     pages = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], "page_id long, url string, html string, id string, record_type string, payload_bytes int")
