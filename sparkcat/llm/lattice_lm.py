@@ -71,24 +71,28 @@ class Pieces:
         rows, n = codes.shape
         out: list = [[] for _ in range(n + 1)]
         weights = np.append(self.log, -np.inf)
-        mult = odd_constants(33, self.longest)
+        mult, columns = odd_constants(33, self.longest), np.ascontiguousarray(codes.T)
         for i in range(n):
-            h = np.zeros(rows, np.uint64)
+            h, alive = np.zeros(rows, np.uint64), np.arange(rows)
             for size in range(1, min(self.longest, n - i) + 1):
-                h = h + codes[:, i + size - 1] * mult[size - 1]
-                if size in self.hashed:
-                    keys, ids = self.hashed[size]
-                    k = fmix64(h)
-                    at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                    p = np.where(keys[at] == k, ids[at], -1)
-                else:
+                # Only rows whose characters from i on begin some piece go on to longer ones.
+                h = h + columns[i + size - 1][alive] * mult[size - 1]
+                keys, ids = self.hashed[size]
+                k = fmix64(h)
+                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                found = keys[at] == k
+                h, alive = h[found], alive[found]
+                met = ids[at[found]]
+                if size == 1 or (met >= 0).any():
                     p = np.full(rows, -1)
-                w = weights[p]
-                if size == 1:  # characters that are no piece are spelled in bytes
-                    for r in np.nonzero(p < 0)[0]:
-                        w[r] = self.by_bytes(int(codes[r, i]))
-                if size == 1 or (p >= 0).any():
+                    p[alive] = met
+                    w = weights[p]
+                    if size == 1:  # characters that are no piece are spelled in bytes
+                        for r in np.nonzero(p < 0)[0]:
+                            w[r] = self.by_bytes(int(codes[r, i]))
                     out[i + size].append((i, p, w))
+                if not len(alive):
+                    break
         return out
 
     def run(self, words: list[str], expect: np.ndarray | None = None) -> np.ndarray:
@@ -193,17 +197,21 @@ def vocabulary(path: str) -> tuple[list[str], np.ndarray]:
 
 @lru_cache(maxsize=2)
 def _hashed(path: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """For each length, the hashes of the pieces' code points, sorted, and the pieces."""
-    by: dict[int, list[int]] = {}
+    """For each length, the hashes of the code points of pieces and of beginnings of pieces, sorted, and the pieces (-1: a
+    beginning only)."""
     texts = vocabulary(path)[0]
-    for i, t in enumerate(texts):
-        by.setdefault(len(t), []).append(i)
+    at = {t: i for i, t in enumerate(texts)}
+    by: dict[int, set[str]] = {}
+    for t in texts:
+        for n in range(1, len(t) + 1):
+            by.setdefault(n, set()).add(t[:n])
     out = {}
-    for n, ids in by.items():
-        codes = np.array([[ord(c) for c in texts[i]] for i in ids], dtype=np.uint64)
+    for n, starts in by.items():
+        some = sorted(starts)
+        codes = np.array([[ord(c) for c in t] for t in some], dtype=np.uint64)
         h = fmix64((codes * odd_constants(33, n)).sum(axis=1, dtype=np.uint64))
         order = np.argsort(h)
-        out[n] = h[order], np.array(ids)[order]
+        out[n] = h[order], np.array([at.get(t, -1) for t in some])[order]
     return out
 
 

@@ -634,6 +634,27 @@ def test_lattices_of_a_length_equal_single_ones():
     assert np.allclose(p.run(words, many), want) and np.allclose(p.run(words), want) and np.allclose(one, many)
 
 
+def test_lattice_looks_up_no_more_than_begins_a_piece(monkeypatch):
+    """Where the vocabulary has no longer piece that goes on as the word does, longer pieces are not looked up; arcs stay."""
+    p = lattice_lm.Pieces(queries.tokenizer_file("piece_bpe_32k.model"))
+    words = ["▁" + "".join(c) for c in (["qxzjkvwq"] * 3 + ["straßenb", "internat", "zzzzzzzz", "日本語の文字列で"])]
+    looked, mixed = [], lattice_lm.fmix64
+    monkeypatch.setattr(lattice_lm, "fmix64", lambda h: looked.append(len(h)) or mixed(h))
+    codes = np.array([[ord(c) for c in w] for w in words], dtype=np.uint64)
+    got = p.lattices(codes)
+    begins = {t[:n] for t in p.texts for n in range(1, len(t) + 1)}
+    want = 0
+    for w in words:
+        for i in range(len(w)):
+            n = next((k for k in range(1, len(w) - i + 1) if w[i : i + k] not in begins), len(w) - i)
+            want += min(n, p.longest)
+    assert sum(looked) == want
+    for r, w in enumerate(words):
+        for end, arcs in enumerate(p.arcs(w)):
+            here = {(i, int(x[r]), round(float(y[r]), 9)) for i, x, y in got[end] if y[r] > -np.inf}
+            assert here == {(i, x, round(float(y), 9)) for i, x, y in arcs}
+
+
 def test_lattice_score_by_brute_force(spark, monkeypatch):
     """Whole scores from plain sums over all segmentations, expectation steps included; also with few broadcast words."""
     path = queries.tokenizer_file("piece_bpe_32k.model")
