@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import Window
@@ -768,6 +769,24 @@ def test_kneser_ney_shards(monkeypatch):
     assert not kneser_ney.meet([], x, owner, 7).any()
 
 
+def test_kneser_ney_parts_hold_each_ngram_once():
+    """The parts that are made and met one after another leave no n-gram out and count none twice, and none holds most."""
+    texts = ["", None, " \t", "A b\tC b", "é" * 40 + " X É", " ".join(x * k for k in (7, 8, 9, 31, 32, 33) for x in "aB"), "q\x1cw\x0bAB Ab", *[f"w{i} of x{i} y{i} v{i % 7}" for i in range(200)]]
+    hashes, got, sizes = kneser_ney.WordHashes(), Counter(), []
+    for part in range(kneser_ney.PARTS):
+        a, b, c, owner, word, last = kneser_ney.places(pa.array(texts), range(part, part + 1))
+        rows = [x for g in ((a, b, c), (b, c), (b,), (a, b)) for x in zip([len(g)] * len(b), *[w.tolist() for w in g], owner.tolist())]
+        got.update(rows + [(0, *x) for x in zip(word.tolist(), last.tolist())])
+        sizes.append(len(b))
+    want = Counter()
+    for i, text in enumerate(texts):
+        h = kneser_ney.padded(text, hashes).tolist()
+        for a, b, c in zip(h, h[1:], h[2:]):
+            want.update([(3, a, b, c, i), (1, b, i), (0, c, i), (2, b, c, i), (2, a, b, i)])
+    assert got == want
+    assert max(sizes) < 0.5 * sum(sizes), sizes
+
+
 def test_kneser_ney_trains_on_all_trusted_words(spark, monkeypatch):
     """However many words the trusted documents have, and however long one of them is."""
     trained = []
