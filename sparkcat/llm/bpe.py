@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -37,6 +37,8 @@ LAST_COMMON = "\u0400"
 LAST_PLAIN = "\u0300"
 STEPS = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 KEEP_WORDS, KEEP_PAIRS = 150_000, 300_000
+#: So many rows at a time are taken out of an Arrow batch, one text at a time as Python's own.
+ROWS = 200
 #: Texts of up to so many units are merged by plain scans for the least rank, longer ones by a heap.
 SHORT = 24
 NEVER = (1 << 60, -1)
@@ -223,31 +225,32 @@ def load(path: str) -> WordBpe:
 
 
 def _run(path: str, digests: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         texts = [str(i) for i in range(len(bpe.offset))]
-        for pdf in batches:
-            for at in range(0, len(pdf), 200):
-                part = pdf.iloc[at : at + 200]
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 rows = []
-                for text in part["text"]:
-                    ids = bpe.encode_array(text)
+                for text in part.column("text"):
+                    ids = bpe.encode_array(text.as_py())
                     if digests:
                         rows.append((len(ids), hashlib.sha256(" ".join([texts[i] for i in ids.tolist()]).encode()).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()))
                     else:
                         rows.append((len(ids), ids))
+                kinds = [pa.int64(), pa.string(), pa.string()] if digests else [pa.int64(), pa.list_(pa.int32())]
                 names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "token_ids"]
-                cols = list(zip(*rows, strict=True)) or [[]] * len(names)
-                yield part.drop(columns=["text"]).assign(**dict(zip(names, map(list, cols), strict=True)))
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *cols], ["doc_id", *names])
 
     return run
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and token_ids of every document."""
-    return docs.select("doc_id", "text").mapInPandas(_run(path, False), "doc_id long, n_tokens long, token_ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(_run(path, False), "doc_id long, n_tokens long, token_ids array<int>")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded text."""
-    return docs.select("doc_id", "text").mapInPandas(_run(path, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(_run(path, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,8 +126,9 @@ def kept(key: tuple, make: Callable):
 
 
 def _give_back() -> None:
-    """Return freed memory to the system, where the C library can."""
+    """Return freed memory to the system: Arrow's, and the C library's where it can."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

@@ -17,9 +17,10 @@ n_tokens, keep_prob and sampled are added, in place of such columns if there are
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import GAP_SQL, forget, stored
@@ -97,6 +98,13 @@ def with_cells(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return base, stored(base.groupBy(*AXES).agg(F.sum("_tokens").alias("t")).where("t > 0"), "cells")
 
 
+def local_table(spark: SparkSession, rows: Iterable[tuple], names: tuple[str, ...], number: str) -> DataFrame:
+    """A small table of strings and one number. From Arrow, as executors would read a list in Python workers of another kind
+    than the operators', which stay in memory beside these."""
+    schema = pa.schema([*[(n, pa.string()) for n in names], (number, pa.float64())])
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema))
+
+
 def raked_table(cells: DataFrame, targets: list[Mapping] | None = None, share: float = SHARE, rounds: int = ROUNDS) -> DataFrame:
     """As rake() and probabilities() on any number of cells: _source, _lang, _topic, p."""
     spark = cells.sparkSession
@@ -107,7 +115,7 @@ def raked_table(cells: DataFrame, targets: list[Mapping] | None = None, share: f
         if targets is None:
             goal = sums.select(a, F.pow(F.col("s").cast("double"), ALPHA).alias("g"))
         else:
-            named = spark.createDataFrame([(k, float(v)) for k, v in targets[i].items()], f"{a} string, g double")
+            named = local_table(spark, [(k, float(v)) for k, v in targets[i].items()], (a,), "g")
             goal = sums.select(a).join(named, a, "left").fillna(0.0, ["g"])
         goal = stored(goal, "goal")
         whole = goal.agg(F.sum("g")).first()[0]
@@ -151,7 +159,7 @@ def mixed(docs: DataFrame, targets: list[Mapping] | None = None, share: float =
     if cells.count() <= CELLS:
         have = {tuple(r[a] for a in AXES): r["t"] for r in cells.collect()}
         p = probabilities(have, rake(have, targets or temperature_targets(have)), share)
-        table = F.broadcast(docs.sparkSession.createDataFrame([(*k, v) for k, v in sorted(p.items())], "_source string, _lang string, _topic string, p double"))
+        table = F.broadcast(local_table(docs.sparkSession, [(*k, v) for k, v in sorted(p.items())], AXES, "p"))
     else:
         table = raked_table(cells, targets, share)
     out = base.join(table, list(AXES), "left").withColumn("p", F.coalesce("p", F.lit(share)))

@@ -872,6 +872,25 @@ def test_stages_take_odd_tables(spark, at):
     assert stage(spark, none(spark), DATA).count() == 0
 
 
+def test_tokens_stage_holds_no_batch_of_python_texts(spark, tmp_path):
+    """The mixing stage starts no workers of another kind, whose memory would stay beside the tokenizer's; that takes its texts
+    from Arrow, not as a batch of pandas objects, and ids beside null ones keep all their digits."""
+    assert "ExistingRDD" not in mixing.mixed(documents(spark))._jdf.queryExecution().toString()
+    assert mixing.local_table(spark, [("a", 0.5), (None, 1.0)], ("x",), "p").dtypes == [("x", "string"), ("p", "double")]
+    assert mixing.local_table(spark, [], ("x",), "p").count() == 0
+    docs = spark.createDataFrame([(None, "a"), (2**53 + 1, "a b"), (3, None)], "doc_id long, text string").coalesce(1)
+    out = corpus_pipeline.to_tokens(spark, docs, DATA)
+    assert "InPandas" not in out._jdf.queryExecution().toString()
+    assert [(r["doc_id"], r["n_tokens"]) for r in out.collect()] == [(None, 1), (2**53 + 1, 2), (3, 0)]
+
+
+def test_freed_arrow_memory_is_given_back(monkeypatch):
+    freed = []
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: freed.append(1)})())
+    monkeypatch.setattr(common, "_kept", {("toxicity", "x"): 1})
+    assert common.kept(("words",), dict) == {} and freed
+
+
 CLASHING = ["score", "kept", "toxicity", "topic", "n_tokens", "sampled", "keep_prob", "_tokens", "_h", "_two", "_fixed", "_row", "_document", "component_id", "text_hash", "digest", "held_out", "n_words", "base_failed"]
 
 
