@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 from difflib import SequenceMatcher
 
 import pytest
@@ -148,6 +149,14 @@ def test_distinct_lines_keep_order(spark):
     assert [x["url"] for x in out] == ["http://a/", "https://b"]
 
 
+def test_distinct_lines_of_many_take_linear_time(spark):
+    """Twice 10,000 URLs: comparing each with all others would take minutes."""
+    lines = F.transform(F.sequence(F.lit(0), F.lit(19_999)), lambda i: F.struct(F.concat(F.lit("https://x/"), (i % 10_000).cast("string")).alias("url")))
+    began = time.time()
+    out = spark.range(1).select(L.distinct_lines(lines).alias("l")).first()["l"]
+    assert [x["url"] for x in out] == [f"https://x/{i}" for i in range(10_000)] and time.time() - began < 20
+
+
 def test_product_is_written_whole(spark, tmp_path):
     items = spark.createDataFrame([("a", "t", "x, y", "p", [(1, [(1, "u")]), (2, [])]), ("b", "t", None, "p", [])], "bangou string, title string, tags string, poster string, seasons array<struct<season_number:int,episodes:array<struct<ep_number:int,poster:string>>>>")
     got = {r["part"]: r for r in sinks.write_product(items, spark.createDataFrame([(1,)], "k int"), f"file://{tmp_path}/p", "2.1", "now").collect()}
