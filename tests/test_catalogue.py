@@ -157,6 +157,14 @@ def test_distinct_lines_of_many_take_linear_time(spark):
     assert [x["url"] for x in out] == [f"https://x/{i}" for i in range(10_000)] and time.time() - began < 20
 
 
+def test_coarse_entity_of_many_rows_takes_linear_time(spark):
+    rows = spark.range(8_000).select(F.lit("k").alias("k"), F.col("id").alias("arrival"), (F.col("id") % 3).cast("int").alias("priority"), F.array(F.struct(F.concat(F.lit("https://x/"), F.col("id").cast("string")).alias("url")), F.struct(F.lit("http://y/").alias("url"))).alias("lines"))
+    began = time.time()
+    e = L.coarse_entities(rows, ["k"], "priority", "lines", "arrival").first()
+    assert e["primary"]["arrival"] == 0 and len(e["siblings"]) == 7_999 and time.time() - began < 20
+    assert [x["url"] for x in e["lines"]] == ["https://x/0", "http://y/", *(f"https://x/{i}" for i in range(1, 8_000))]
+
+
 def test_product_is_written_whole(spark, tmp_path):
     items = spark.createDataFrame([("a", "t", "x, y", "p", [(1, [(1, "u")]), (2, [])]), ("b", "t", None, "p", [])], "bangou string, title string, tags string, poster string, seasons array<struct<season_number:int,episodes:array<struct<ep_number:int,poster:string>>>>")
     got = {r["part"]: r for r in sinks.write_product(items, spark.createDataFrame([(1,)], "k int"), f"file://{tmp_path}/p", "2.1", "now").collect()}
