@@ -11,14 +11,23 @@ from pyspark.sql import functions as F
 def rolling_rate(df: DataFrame, bad: Column, ts: str, seconds: int, least: int, most: float, keys: Sequence[str] = ()) -> DataFrame:
     """Share of bad rows in the last `seconds`, and a trip once at least `least` rows show more than `most`.
 
-    Time is cut into blocks of the window's width, and each block's rows are copied to the next as context, so that windows
-    run within blocks: a log without keys, or with a hot one, is spread over as many tasks as it has blocks.
+    Time is cut into blocks of the window's width, and each block's rows are copied to the next, where they leave the window
+    one after another: a window holds the block before, less the rows that have left, and its own block's rows so far. So
+    each row is added once, however many a window holds, and a log without keys, or with a hot one, is spread over as many
+    tasks as it has blocks.
     """
+    width = seconds * 1_000_000
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    block = F.floor(at / (seconds * 1_000_000))
-    rows = df.withColumns({"_at": at, "_bad": F.coalesce(bad, F.lit(False)).cast("long")}).withColumn("_block", F.explode(F.array(block, block + 1))).withColumn("_own", F.col("_block") == block)
-    w = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(-seconds * 1_000_000, 0)
-    out = rows.withColumns({"n_window": F.count("*").over(w), "n_bad": F.sum("_bad").over(w)}).where("_own").drop("_at", "_bad", "_block", "_own")
+    block = F.floor(at / width)
+    rows = df.withColumns({"_at": at, "_bad": F.coalesce(bad, F.lit(False)).cast("long")})
+    copy = lambda b, own: F.struct(b.alias("block"), F.lit(own).alias("own"))
+    rows = rows.withColumn("_copy", F.explode(F.array(copy(block, True), copy(block + 1, False)))).withColumns({"_block": F.col("_copy.block"), "_own": F.col("_copy.own")}).drop("_copy")
+    # A row is in windows up to and with its time plus the width: it leaves one microsecond later.
+    rows = rows.withColumn("_at", F.when(F.col("_own"), F.col("_at")).otherwise(F.col("_at") + width + 1))
+    every = Window.partitionBy(*keys, "_block")
+    so_far = every.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    held = lambda v: F.sum(F.when(F.col("_own"), 0).otherwise(v)).over(every) + F.sum(F.when(F.col("_own"), v).otherwise(-v)).over(so_far)
+    out = rows.withColumns({"n_window": held(F.lit(1).cast("long")), "n_bad": held(F.col("_bad"))}).where("_own").drop("_at", "_bad", "_block", "_own")
     return out.withColumn("trip", (F.col("n_window") >= least) & (F.col("n_bad") > most * F.col("n_window")))
 
 

@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import time
 
 import duckdb
 import pandas as pd
@@ -68,6 +69,14 @@ def test_guard_trips_above_threshold_only(spark):
     assert trips(16, 50) == 1 and trips(15, 50) == 0 and trips(30, 49) == 0
 
 
+def test_rolling_counts_do_not_grow_with_the_window(spark):
+    """100,000 rows in one window; windows reach over a block's end and hold rows at both of their own."""
+    log = spark.range(100_000).select("id", F.timestamp_millis(F.lit(1_700_000_000_000) + 10 * F.col("id")).alias("ts"))
+    began = time.time()
+    got = A.rolling_rate(log, F.col("id") % 2 == 0, "ts", 600, 50, 0.30).agg(F.count_if((F.col("n_window") == F.least(F.col("id") + 1, F.lit(60_001))) & (F.col("n_bad") == F.expr("id div 2 + 1 - greatest(0, (id - 60000 + 1) div 2)"))).alias("n")).first()["n"]
+    assert got == 100_000 and time.time() - began < 20
+
+
 def test_token_bucket_grants(spark):
     got = A.token_bucket(spark.range(8), F.lit(0.0), "id", 4.0).orderBy("id").toPandas()["grant_at"].tolist()
     assert got == [0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 1.75]
