@@ -77,6 +77,18 @@ def test_rolling_counts_do_not_grow_with_the_window(spark):
     assert got == 100_000 and time.time() - began < 20
 
 
+@pytest.mark.parametrize("name, kind, seconds", [("q_breaker_cooldown", "error", 90_000)])
+def test_epoch_seconds_round_as_in_sql(spark, tmp_path, name, kind, seconds):
+    """Calls just before and after a pause ends, by fractions of a second on both sides."""
+    at = lambda i: 0.1 * (i % 10)
+    log = [(u * 10 + i, u, 1_700_000_000 + (i if i < 6 else seconds + 5) + at(u if i < 6 else u // 10), kind if i < 6 else "view") for u in range(100) for i in range(7)]
+    events = spark.createDataFrame(log, "event_id long, user_id long, s double, event_type string").select("event_id", "user_id", F.timestamp_micros(F.round(F.col("s") * 1_000_000).cast("long")).cast("timestamp_ntz").alias("ts"), "event_type")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    c = duckdb.connect()
+    c.sql(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert rows(catalog.queries()[name](spark, str(tmp_path)).toPandas()) == rows(c.sql(ORACLES[name]).df())
+
+
 def test_token_bucket_grants(spark):
     got = A.token_bucket(spark.range(8), F.lit(0.0), "id", 4.0).orderBy("id").toPandas()["grant_at"].tolist()
     assert got == [0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 1.75]
