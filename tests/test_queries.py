@@ -77,7 +77,7 @@ def test_rolling_counts_do_not_grow_with_the_window(spark):
     assert got == 100_000 and time.time() - began < 20
 
 
-@pytest.mark.parametrize("name, kind, seconds", [("q_breaker_cooldown", "error", 90_000)])
+@pytest.mark.parametrize("name, kind, seconds", [("q_breaker_cooldown", "error", 90_000), ("q_guard_reason", "click", 86_400)])
 def test_epoch_seconds_round_as_in_sql(spark, tmp_path, name, kind, seconds):
     """Calls just before and after a pause ends, by fractions of a second on both sides."""
     at = lambda i: 0.1 * (i % 10)
