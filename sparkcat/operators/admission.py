@@ -42,9 +42,9 @@ def running_total(df: DataFrame, value: Column, order: Sequence[Column | str], b
     return rows.join(sums, [*keys, "_block"]).withColumn(name, F.col("_before") + within).drop("_value", "_block", "_before")
 
 
-def sticky(df: DataFrame, flag: str, order: str, keys: Sequence[str] = ()) -> DataFrame:
+def sticky(df: DataFrame, flag: str, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Once set, the flag stays set."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("tripped", F.max(F.col(flag).cast("int")).over(w) == 1)
 
 

@@ -131,7 +131,7 @@ def rolling(spark, d):
 @query("q_sticky_trip", f"select event_id, bool_or(n_window >= 20 and n_bad > 0.25 * n_window) over (partition by day order by ts, event_id rows unbounded preceding) as tripped from (select event_id, ts, date_trunc('day', ts) as day, {_ROLL} from events window w as (partition by date_trunc('day', ts) order by ts range between interval 2 hour preceding and current row))")
 def sticky(spark, d):
     e = table(spark, d, "events").withColumn("day", F.date_trunc("day", "ts"))
-    return A.sticky(A.rolling_rate(e, F.expr(BAD), "ts", 7200, 20, 0.25, ["day"]), "trip", "event_id", ["day"]).select("event_id", "tripped")
+    return A.sticky(A.rolling_rate(e, F.expr(BAD), "ts", 7200, 20, 0.25, ["day"]), "trip", ["ts", "event_id"], ["day"]).select("event_id", "tripped")
 
 
 @query("q_consecutive_failures", """with a as (select event_id, user_id, (event_type not in ('error','click'))::int as ok, sum((event_type not in ('error','click'))::int) over (partition by user_id order by event_id) as island from events),

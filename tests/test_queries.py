@@ -89,6 +89,14 @@ def test_epoch_seconds_round_as_in_sql(spark, tmp_path, name, kind, seconds):
     assert rows(catalog.queries()[name](spark, str(tmp_path)).toPandas()) == rows(c.sql(ORACLES[name]).df())
 
 
+def test_sticky_goes_by_time_before_id(spark, tmp_path):
+    """30 errors of a day, the later ones with the smaller ids."""
+    events = spark.range(30).select((100 - F.col("id")).alias("event_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).cast("timestamp_ntz").alias("ts"), F.lit("error").alias("event_type"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = catalog.queries()["q_sticky_trip"](spark, str(tmp_path)).where("tripped").toPandas()["event_id"]
+    assert sorted(got) == list(range(71, 82))
+
+
 def test_token_bucket_grants(spark):
     got = A.token_bucket(spark.range(8), F.lit(0.0), "id", 4.0).orderBy("id").toPandas()["grant_at"].tolist()
     assert got == [0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 1.75]
