@@ -165,6 +165,22 @@ def test_coarse_entity_of_many_rows_takes_linear_time(spark):
     assert [x["url"] for x in e["lines"]] == ["https://x/0", "http://y/", *(f"https://x/{i}" for i in range(1, 8_000))]
 
 
+def test_items_shuffle_lines_not_episodes(spark):
+    """Episodes are made of a line's numbers where its item is, so that a line's numbers are all that is shuffled."""
+    from sparkcat.plans import catalogue
+
+    sc = spark.sparkContext
+
+    def shuffled():
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = shuffled()
+    catalogue._items(spark, "/root/testdata/sf0.01").write.format("noop").mode("overwrite").save()
+    time.sleep(1)  # figures of the last tasks come in late
+    assert 0 < shuffled() - before < 25 * 60_000
+
+
 def test_product_is_written_whole(spark, tmp_path):
     items = spark.createDataFrame([("a", "t", "x, y", "p", [(1, [(1, "u")]), (2, [])]), ("b", "t", None, "p", [])], "bangou string, title string, tags string, poster string, seasons array<struct<season_number:int,episodes:array<struct<ep_number:int,poster:string>>>>")
     got = {r["part"]: r for r in sinks.write_product(items, spark.createDataFrame([(1,)], "k int"), f"file://{tmp_path}/p", "2.1", "now").collect()}
